@@ -354,7 +354,7 @@ def _max_then_sum(f):
 @query(
     "date_or_filter",
     sql(
-        """select i.cd_remessa, i.conta, i.cd_lancamento, i.cd_atendimento, g.grupo cd_gru_pro, n.r_name ds_gru_pro, i.valor_item
+        """select i.cd_remessa, i.conta, i.cd_lancamento, i.cd_atendimento, cast(n.r_regionkey as bigint) cd_gru_pro, n.r_name ds_gru_pro, i.valor_item
 from items i left join (select 'S' || p pf, p % 7 grupo from range(40) t(p)) g on g.pf = i.pf
 left join region n on n.r_regionkey = g.grupo
 where tp_atendimento <> '5-LOW' and ((dt_competencia >= date '1997-01-01' and dt_competencia < date '1997-07-01')
@@ -374,7 +374,7 @@ def _date_or_filter(f):
         F.col("cd_reg").alias("conta"),
         "cd_lancamento",
         "cd_atendimento",
-        F.col("p_grupo").alias("cd_gru_pro") if "p_grupo" in rows.columns else "cd_gru_pro",
+        "cd_gru_pro",
         "ds_gru_pro",
         F.col("vl_total_conta").alias("valor_item"),
     )
@@ -405,10 +405,10 @@ def _data_period(f):
 @query(
     "enrich_reports",
     sql(
-        """select r.id_registro, coalesce(c.conta, r.numero_conta) numero_conta, case when c.hit then c.at else r.cd_atendimento end cd_atendimento,
+        """select r.id_registro, coalesce(c.conta, r.numero_conta) numero_conta, case when c.hit then c.atend else r.cd_atendimento end cd_atendimento,
   coalesce(c.pac, r.nome_paciente) nome_paciente, coalesce(c.guia, r.numero_guia) numero_guia, coalesce(c.mes, r.competencia) competencia
 from raw_reports r left join (
-  select id_registro, true hit, any_value(cast(conta as varchar)) conta, any_value(cd_atendimento) at, any_value(nm_paciente) pac,
+  select id_registro, true hit, any_value(cast(conta as varchar)) conta, any_value(cd_atendimento) atend, any_value(nm_paciente) pac,
     any_value(lower(guia)) guia, any_value(dt_competencia) mes from (
     select r.id_registro, i.*, i.nm_paciente = r.nome_paciente same, bool_or(i.nm_paciente = r.nome_paciente) over (partition by r.id_registro) any_same
     from raw_reports r join items i on i.cd_remessa = r.cd_remessa and i.valor_item = r.valor)

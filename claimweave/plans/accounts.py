@@ -30,7 +30,7 @@ def _probes(remittance: Column, account: Column, attendance: Column, guide: Colu
         F.when(has_attendance & filled, key(3, none, attendance, guide)),
         F.when(has_account, key(4, account, none, blank)),
     )
-    return F.filter(keys, lambda k: k.isNotNull() & remittance.isNotNull())
+    return F.when(remittance.isNotNull(), keys)
 
 
 def resolve_accounts(reports: DataFrame, items: DataFrame) -> DataFrame:
@@ -49,6 +49,7 @@ def resolve_accounts(reports: DataFrame, items: DataFrame) -> DataFrame:
             "conta",
             "mes",
         )
+        .filter("prioridade is not null")
         .groupBy(*_KEY)
         .agg(
             F.min("conta").alias("conta_menor"),
@@ -79,7 +80,7 @@ def resolve_accounts(reports: DataFrame, items: DataFrame) -> DataFrame:
         ),
     )
     chosen = (
-        probes.join(groups, list(_KEY))
+        probes.filter("prioridade is not null").join(groups, list(_KEY))
         .groupBy("id_registro")
         .agg(F.min_by(F.struct("prioridade", "conta_menor", "meses"), "prioridade").alias("escolha"))
     )

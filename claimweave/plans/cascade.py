@@ -15,14 +15,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimweave import fixed_values as fv
-from claimweave.functions import dates as D
 from claimweave.functions import numbers as N
 from claimweave.functions import text as T
 from claimweave.plans.remittances import expected_remittances
 from claimweave.plans.staging import ITEM_COLUMNS, item_digest
 
-RULE_KEY = ("prioridade", "k_remessa", "k_carteira", "k_servico", "k_mes", "k_guia", "k_valor")
+_KEY_FIELDS = ("prioridade", "k_remessa", "k_carteira", "k_servico", "k_mes", "k_guia", "k_valor")
+# The hash leads the key only to make sorting and merging cheap; equality is still decided
+# by all fields.
+RULE_KEY = ("k", *_KEY_FIELDS)
 _NO_REMITTANCE = -1
+_ANY_MONTH = -1
 _LEGACY_FROM = 21
 
 CRITERIA = {
@@ -41,11 +44,15 @@ def _key(priority, remittance, card, service, month=None, guide=None, value=None
         remittance,
         card,
         service,
-        F.lit("") if month is None else month,
+        F.lit(_ANY_MONTH) if month is None else month,
         F.lit("") if guide is None else guide,
         (F.lit(0) if value is None else value).cast(N.MONEY),
     )
-    return F.struct(*[v.alias(n) for v, n in zip(values, RULE_KEY)])
+    return F.struct(*[v.alias(n) for v, n in zip(values, _KEY_FIELDS)])
+
+
+def _month_number(day: str) -> Column:
+    return F.year(day) * 12 + F.month(day)
 
 
 def _item_keys(rules, remittance: Column, direct: bool) -> Column:
@@ -63,7 +70,7 @@ def _item_keys(rules, remittance: Column, direct: bool) -> Column:
         keys.append(F.when(named, _key(1, remittance, card, pf, guide=guide)))
         keys.append(F.when(named & (tuss != pf), _key(1, remittance, card, tuss, guide=guide)))
     for priority, _, month_of, by_guide, service, filled, by_value in rules:
-        month = D.year_month(f"dt_{month_of}")
+        month = F.col(f"_mes_{month_of}")
         usable = month.isNotNull() & remittance.isNotNull()
         if filled:
             usable = usable & (tuss != "")
@@ -81,7 +88,7 @@ def _item_keys(rules, remittance: Column, direct: bool) -> Column:
                 ),
             )
         )
-    return F.filter(F.array(*keys), lambda k: k.isNotNull())
+    return F.array(*keys)
 
 
 def _denial_keys(rules, remittance: Column, direct: bool) -> Column:
@@ -97,12 +104,17 @@ def _denial_keys(rules, remittance: Column, direct: bool) -> Column:
                 _key(priority, remittance, card, service, month, guide if by_guide else None, value if by_value else None),
             )
         )
-    return F.filter(F.array(*keys), lambda k: k.isNotNull())
+    return F.array(*keys)
+
+
+def _with_months(lines: DataFrame) -> DataFrame:
+    names = ("competencia", "lancamento", "atendimento")
+    return lines.withColumns({f"_mes_{n}": _month_number(f"dt_{n}") for n in names}).withColumn("_digest", item_digest())
 
 
 def _with_match_fields(denials: DataFrame) -> DataFrame:
     return (
-        denials.withColumn("_mes", D.year_month("data_realizacao"))
+        denials.withColumn("_mes", _month_number("data_realizacao"))
         .withColumn("_guia", T.norm_key("numero_guia_senha"))
         .withColumn("_servico", T.norm_key("codigo_servico"))
         .withColumn("_carteira", T.strip_zeros("codigo_beneficiario"))
@@ -110,40 +122,35 @@ def _with_match_fields(denials: DataFrame) -> DataFrame:
     )
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    return rows.filter("prioridade is not null").withColumn("k", F.xxhash64(*_KEY_FIELDS))
+
+
 def _report_line_keys(report_items: DataFrame, extra=()) -> DataFrame:
     keys = _item_keys(fv.FALLBACK_RULES, F.lit(_NO_REMITTANCE).cast("bigint"), direct=True)
-    return report_items.select(
-        F.inline(keys), "numero_processo", "cd_remessa", "conta", "cd_lancamento", item_digest().alias("_digest"), *extra
-    )
+    line = ("numero_processo", "cd_remessa", "conta", "cd_lancamento", "_digest")
+    return _keyed(_with_months(report_items).select(F.inline(keys), *line, *extra))
 
 
 def _hospital_line_keys(items: DataFrame, extra=()) -> DataFrame:
     keys = _item_keys(fv.LEGACY_RULES, F.col("cd_remessa"), direct=False)
-    return items.select(
-        F.inline(keys),
-        F.lit(None).cast("string").alias("numero_processo"),
-        "cd_remessa",
-        "conta",
-        "cd_lancamento",
-        item_digest().alias("_digest"),
-        *extra,
-    )
+    process = F.lit(None).cast("string").alias("numero_processo")
+    line = ("cd_remessa", "conta", "cd_lancamento", "_digest")
+    return _keyed(_with_months(items).select(F.inline(keys), process, *line, *extra))
 
 
 def _report_probes(denials: DataFrame) -> DataFrame:
     keys = _denial_keys(fv.FALLBACK_RULES, F.lit(_NO_REMITTANCE).cast("bigint"), direct=True)
-    return _with_match_fields(denials).select(
-        "id_registro", F.lit(None).cast("string").alias("_processo"), F.inline(keys)
-    )
+    own = F.lit(None).cast("string").alias("_processo")
+    return _keyed(_with_match_fields(denials).select("id_registro", own, F.inline(keys)))
 
 
 def _legacy_probes(denials: DataFrame, remittances: DataFrame) -> DataFrame:
     linked = denials.filter(F.col("status_associacao").startswith(fv.LINKED_STATUS_PREFIX))
     expected = expected_remittances(linked, remittances, "inner")
     keys = _denial_keys(fv.LEGACY_RULES, F.col("cd_remessa"), direct=False)
-    return _with_match_fields(expected).select(
-        "id_registro", F.col("numero_processo").alias("_processo"), F.inline(keys)
-    )
+    own = F.col("numero_processo").alias("_processo")
+    return _keyed(_with_match_fields(expected).select("id_registro", own, F.inline(keys)))
 
 
 def _reduce_lines(lines: DataFrame) -> DataFrame:
