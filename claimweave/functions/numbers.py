@@ -17,34 +17,27 @@ def money(c: Column | str) -> Column:
     return F.coalesce(_col(c).cast("decimal(38,10)"), F.lit(0)).cast(MONEY)
 
 
-def _numeral(text: Column, to: str) -> Column:
-    return F.when(text.rlike(_NUMERAL), text.try_cast(to))
+def _swap_comma(c: Column) -> Column:
+    return F.translate(c, ",", ".")
 
 
 def parse_statement_number(c: Column | str, to: str = MONEY) -> Column:
     """``1.234,50``, ``,83`` and ``-,5``; blank or dash is null; other text is null."""
-    text = F.regexp_replace(dash_to_null(c), r"\.", "")
-    return _numeral(F.regexp_replace(text, ",", "."), to)
+    return F.translate(dash_to_null(c), ",.", ".").try_cast(to)
+
+
+# One decimal comma after any dots, one decimal dot after any commas, or dots only.
+_SEPARATORS = r"\A(?:[^,]*,[^.,]*|[^.]*\.[^.,]*|[^,]*)\z"
 
 
 def parse_document_number(c: Column | str, to: str = MONEY) -> Column:
     """Free-form amounts: the last separator decides, parentheses negate."""
-    squashed = squash(c)
-    bare = F.upper(F.regexp_replace(squashed, " ", ""))
     raw = edge_trim(c)
     kept = F.btrim(F.regexp_replace(raw, r"[^0-9,.\-]", ""), F.lit("."))
-    last_comma = F.length(kept) - F.locate(",", F.reverse(kept))
-    last_dot = F.length(kept) - F.locate(".", F.reverse(kept))
-    brazilian = F.regexp_replace(F.regexp_replace(kept, r"\.", ""), ",", ".")
-    several_dots = F.regexp_replace(kept, r"\.(?=.*\.)", "")
-    number = (
-        F.when(kept.contains(",") & kept.contains("."), F.when(last_comma > last_dot, brazilian).otherwise(F.regexp_replace(kept, ",", "")))
-        .when(kept.contains(","), brazilian)
-        .otherwise(several_dots)
-    )
-    negative = raw.startswith("(") & raw.endswith(")")
-    signed = F.when(negative, F.concat(F.lit("-"), F.ltrim(number, F.lit("-")))).otherwise(number)
-    return F.when(bare.isin("-", "R$-"), F.lit(0).cast(to)).otherwise(_numeral(signed, to))
+    plain = _swap_comma(F.regexp_replace(kept, r"[.,](?=.*[.,])", ""))
+    signed = F.when(raw.rlike(r"(?s)\A\(.*\)\z"), F.regexp_replace(plain, r"\A-*", "-")).otherwise(plain)
+    number = F.when(kept.rlike(_SEPARATORS), signed).try_cast(to)
+    return F.when(squash(c).rlike(r"(?i)\A(?:R ?\$ ?)?-\z"), F.lit(0).cast(to)).otherwise(number)
 
 
 def bad_statement_number(c: Column | str) -> Column:
@@ -58,9 +51,13 @@ def bad_document_number(c: Column | str) -> Column:
 def parse_request_number(c: Column | str) -> Column:
     """Amount of a request row: optional ``R$``; a comma means Brazilian style; half-even cents."""
     text = F.regexp_replace(squash(_col(c).cast("string")), r"R\$| ", "")
-    brazilian = F.regexp_replace(F.regexp_replace(text, r"\.", ""), ",", ".")
-    number = F.when(text.contains(","), brazilian).otherwise(text)
-    return F.bround(_numeral(number, "decimal(30,10)"), 2).cast(MONEY)
+    number = _swap_comma(F.regexp_replace(text, r"\.(?=.*,)|(?<=,.{0,30})\.", ""))
+    return F.bround(number.try_cast("decimal(30,10)"), 2).cast(MONEY)
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` over ``value`` evaluated once, where the expression uses it several times."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _half_even_scaled(x: Column, scale: int) -> Column:
@@ -70,30 +67,31 @@ def _half_even_scaled(x: Column, scale: int) -> Column:
     tie of the printed digits is only treated as a tie when the double really is one.
     """
     factor = F.lit(float(scale))
-    product = x * factor
     head = x * F.lit(134217729.0)
-    high = head - (head - x)
-    error = (high * factor - product) + (x - high) * factor
-    whole = F.floor(product)
-    part = product - whole
-    tie = part == 0.5
-    up = (part > 0.5) | (tie & (error > 0)) | (tie & (error == 0) & (whole % 2 == 1))
-    return whole + F.when(up, 1).otherwise(0)
+
+    def rounded(s: Column) -> Column:
+        whole = F.floor(s["produto"])
+        part = s["produto"] - whole
+        error = (s["alto"] * factor - s["produto"]) + (x - s["alto"]) * factor
+        up = (part > 0.5) | ((part == 0.5) & ((error > 0) | ((error == 0) & (whole % 2 == 1))))
+        return whole + up.cast("int")
+
+    return _let(F.struct((x * factor).alias("produto"), (head - (head - x)).alias("alto")), rounded)
 
 
 def tax_rate(c: Column | str) -> Column:
     """Four-decimal rate text; values above one are percentages; other text is kept."""
-    text = F.regexp_replace(_col(c), ",", ".")
-    number = _numeral(F.trim(text), "double")
-    rate = F.when(number > 1, number / 100).otherwise(number)
-    scaled = _half_even_scaled(F.abs(rate), 10000).cast("decimal(30,0)")
-    shown = F.concat(
-        F.when(rate < 0, "-").otherwise(""),
-        F.floor(scaled / 10000).cast("string"),
-        F.lit("."),
-        F.lpad((scaled % 10000).cast("decimal(4,0)").cast("string"), 4, "0"),
-    )
-    return F.when(number.isNotNull(), shown).otherwise(_col(c))
+    text = F.trim(_swap_comma(_col(c)))
+    number = F.when(text.rlike(_NUMERAL), text.try_cast("double"))
+
+    def shown(n: Column) -> Column:
+        rate = F.when(n > 1, n / 100).otherwise(n)
+        scaled = _half_even_scaled(F.abs(rate), 10000).cast("decimal(30,0)").cast("string")
+        # 5 -> 00005 -> 0.0005; longer numbers only get the point.
+        padded = F.regexp_replace(F.concat(F.lit("0000"), scaled), r"\A0{0,4}(?=[0-9]{5})", "")
+        return F.concat(F.when(rate < 0, "-").otherwise(""), F.regexp_replace(padded, r"([0-9]{4})\z", ".$1"))
+
+    return F.coalesce(_let(number, shown), _col(c))
 
 
 def money_text(c: Column | str) -> Column:
