@@ -17,34 +17,36 @@ def date_of(year: Column, month: Column, day: Column) -> Column:
     return iso.try_cast("date")
 
 
-def _parts(c: Column, pattern: str, order: str) -> Column:
-    found = {name: first_match(c, pattern, i) for i, name in enumerate(order, start=1)}
-    return date_of(found["y"], found["m"], found.get("d", F.lit("1")))
+_DAY_MONTH_YEAR, _MONTH_YEAR, _YEAR_MONTH_DAY, _YEAR_MONTH = "$3-$2-$1", "$2-$1-1", "$1-$2-$3", "$1-$2-1"
+
+
+def _parts(c: Column, pattern: str, iso: str) -> Column:
+    """Date from the groups of the first match; null without a match or for a day that does not exist."""
+    whole = rf"(?s)\A.*?(?:{pattern}).*\z"
+    return F.when(c.rlike(pattern), F.regexp_replace(c, whole, iso).try_cast("date"))
 
 
 def parse_statement_date(c: Column | str) -> Column:
     """``dd/mm/yyyy``; blank, dash or anything else is null."""
-    return _parts(dash_to_null(c), r"\A(\d{1,2})/(\d{1,2})/(\d{4})\z", "dmy")
+    return _parts(dash_to_null(c), r"\A(\d{1,2})/(\d{1,2})/(\d{4})\z", _DAY_MONTH_YEAR)
 
 
 def parse_document_date(c: Column | str) -> Column:
     """Repeated slashes collapse; ``d/m/yyyy``, ``d/m/yy`` or ISO."""
     raw = F.regexp_replace(edge_trim(c), "/{2,}", "/")
-    short = r"\A(\d{1,2})/(\d{1,2})/(\d{2})\z"
-    two = first_match(raw, short, 3).try_cast("int")
-    century = F.when(two >= 69, two + 1900).otherwise(two + 2000)
     return F.coalesce(
-        _parts(raw, r"\A(\d{1,2})/(\d{1,2})/(\d{4})\z", "dmy"),
-        date_of(century, first_match(raw, short, 2), first_match(raw, short, 1)),
-        _parts(raw, r"\A(\d{4})-(\d{1,2})-(\d{1,2})\z", "ymd"),
+        _parts(raw, r"\A(\d{1,2})/(\d{1,2})/(\d{4})\z", _DAY_MONTH_YEAR),
+        _parts(raw, r"\A(\d{1,2})/(\d{1,2})/([0-5]\d|6[0-8])\z", "20" + _DAY_MONTH_YEAR),
+        _parts(raw, r"\A(\d{1,2})/(\d{1,2})/(69|[7-9]\d)\z", "19" + _DAY_MONTH_YEAR),
+        _parts(raw, r"\A(\d{4})-(\d{1,2})-(\d{1,2})\z", _YEAR_MONTH_DAY),
     )
 
 
 def parse_request_date(c: Column | str) -> Column:
     text = F.trim(_col(c))
     return F.coalesce(
-        _parts(text, r"\A(\d{1,2})/(\d{1,2})/(\d{4})\z", "dmy"),
-        _parts(text, r"\A(\d{4})-(\d{1,2})-(\d{1,2})\z", "ymd"),
+        _parts(text, r"\A(\d{1,2})/(\d{1,2})/(\d{4})\z", _DAY_MONTH_YEAR),
+        _parts(text, r"\A(\d{4})-(\d{1,2})-(\d{1,2})\z", _YEAR_MONTH_DAY),
     )
 
 
@@ -55,38 +57,38 @@ def parse_month(c: Column | str) -> Column:
     numbers = F.create_map(*[F.lit(x) for i, name in enumerate(fv.MONTH_NAMES, start=1) for x in (name, i)])
     month = F.try_element_at(numbers, F.lower(first_match(text, named, 1)))
     return F.coalesce(
-        _parts(text, r"\A(\d{1,2})/(\d{4})\z", "my"),
-        _parts(text, r"\A(\d{4})-(\d{1,2})\z", "ym"),
+        _parts(text, r"\A(\d{1,2})/(\d{4})\z", _MONTH_YEAR),
+        _parts(text, r"\A(\d{4})-(\d{1,2})\z", _YEAR_MONTH),
         date_of(first_match(text, named, 2), month, F.lit("1")),
     )
 
 
 def parse_reference(c: Column | str) -> Column:
     """Strict ``mm/yyyy``."""
-    return _parts(F.trim(_col(c)), r"\A(0[1-9]|1[0-2])/(\d{4})\z", "my")
+    return _parts(F.trim(_col(c)), r"\A(0[1-9]|1[0-2])/(\d{4})\z", _MONTH_YEAR)
 
 
 def parse_xml_month(c: Column | str) -> Column:
     """Month inside an ISO date, ``mm/yyyy`` or compact ``yyyymm[dd]`` value."""
     text = F.trim(_col(c))
     return F.coalesce(
-        _parts(text, r"\b(\d{4})-(\d{1,2})(?:-\d{1,2})?\b", "ym"),
-        _parts(text, r"\b(\d{1,2})/(\d{4})\b", "my"),
-        _parts(text, r"\A(\d{4})(\d{2})(?:\d{2})?\z", "ym"),
+        _parts(text, r"\b(\d{4})-(\d{1,2})(?:-\d{1,2})?\b", _YEAR_MONTH),
+        _parts(text, r"\b(\d{1,2})/(\d{4})\b", _MONTH_YEAR),
+        _parts(text, r"\A(\d{4})(\d{2})(?:\d{2})?\z", _YEAR_MONTH),
     )
 
 
 def parse_document_month(c: Column | str) -> Column:
     """``mm/yyyy`` or ``mm-yyyy`` anywhere, else the month of a document date."""
     return F.coalesce(
-        _parts(_col(c), r"\b(0?[1-9]|1[0-2])[/\-](\d{4})\b", "my"),
+        _parts(_col(c), r"\b(0?[1-9]|1[0-2])[/\-](\d{4})\b", _MONTH_YEAR),
         F.trunc(parse_document_date(c), "month"),
     )
 
 
 def parse_report_month_label(c: Column | str) -> Column:
     """Month after a competence label whose letters a damaged font may have garbled."""
-    return _parts(fold(c), fv.REPORT_MONTH_LABEL, "my")
+    return _parts(fold(c), fv.REPORT_MONTH_LABEL, _MONTH_YEAR)
 
 
 def internal_process_month(c: Column | str) -> Column:

@@ -55,7 +55,7 @@ def parse_request_number(c: Column | str) -> Column:
     return F.bround(number.try_cast("decimal(30,10)"), 2).cast(MONEY)
 
 
-def _let(value: Column, body) -> Column:
+def let(value: Column, body) -> Column:
     """``body`` over ``value`` evaluated once, where the expression uses it several times."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
@@ -76,7 +76,7 @@ def _half_even_scaled(x: Column, scale: int) -> Column:
         up = (part > 0.5) | ((part == 0.5) & ((error > 0) | ((error == 0) & (whole % 2 == 1))))
         return whole + up.cast("int")
 
-    return _let(F.struct((x * factor).alias("produto"), (head - (head - x)).alias("alto")), rounded)
+    return let(F.struct((x * factor).alias("produto"), (head - (head - x)).alias("alto")), rounded)
 
 
 def tax_rate(c: Column | str) -> Column:
@@ -91,7 +91,7 @@ def tax_rate(c: Column | str) -> Column:
         padded = F.regexp_replace(F.concat(F.lit("0000"), scaled), r"\A0{0,4}(?=[0-9]{5})", "")
         return F.concat(F.when(rate < 0, "-").otherwise(""), F.regexp_replace(padded, r"([0-9]{4})\z", ".$1"))
 
-    return F.coalesce(_let(number, shown), _col(c))
+    return F.coalesce(let(number, shown), _col(c))
 
 
 def money_text(c: Column | str) -> Column:

@@ -65,7 +65,8 @@ def strip_zeros(c: Column | str) -> Column:
 def fold(c: Column | str) -> Column:
     """Lower case without accents (compatibility decomposition, marks dropped)."""
     plain = F.regexp_replace(F.translate(_col(c), _ACCENTED, _BASE), r"\p{Mn}", "")
-    return F.lower(plain)
+    # Plain text, the usual case, needs no table lookup.
+    return F.lower(F.when(_col(c).rlike(r"[^\x00-\x7f]"), plain).otherwise(_col(c)))
 
 
 def match_key(c: Column | str) -> Column:

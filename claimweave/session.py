@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -21,3 +22,16 @@ def local_session(cores: str | int = "*", app: str = "claimweave") -> SparkSessi
         .config("spark.driver.memory", "12g")
         .getOrCreate()
     )
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder all executors can reach: the checkpoint folder the session names.
+
+    Only a local session without that setting gets a temporary folder of its own.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    return tempfile.mkdtemp(prefix="claimweave-")

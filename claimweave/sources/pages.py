@@ -10,6 +10,16 @@ from claimweave.functions import text as T
 DOCUMENT = ("numero_processo", "documento_id", "documento_nome")
 
 
+def fence(df: DataFrame, **values: Column) -> DataFrame:
+    """Adds columns that are evaluated once, however often later columns and filters use them.
+
+    Filters and projections are otherwise merged into one expression that would repeat a
+    costly text operation for every use.
+    """
+    record = F.struct(*[v.alias(n) for n, v in values.items()])
+    return df.select("*", F.inline(F.array(record)))
+
+
 def clean_cell(cell: Column) -> Column:
     """Squashed non-blank lines of a cell, joined with a line feed."""
     lines = F.transform(F.split(F.coalesce(cell, F.lit("")), T.LINE_BREAK), T.squash)

@@ -15,7 +15,7 @@ from claimweave.functions import numbers as N
 from claimweave.functions import text as T
 from claimweave.functions.identity import fingerprint
 from claimweave.schemas import REPORT_ROWS
-from claimweave.sources.pages import DOCUMENT, clean_rows, first_of, fold_rows, upto
+from claimweave.sources.pages import DOCUMENT, clean_rows, fence, first_of, fold_rows, upto
 
 FIELDS = tuple(fv.REPORT_LABELS)
 
@@ -27,10 +27,12 @@ def remittance_of_file(name: Column | str) -> Column:
 
 def _header_places(folded_cells: Column) -> Column:
     """Zero-based cell of each field, null unless every field has one."""
-    places = F.array(
-        *[F.array_position(F.transform(folded_cells, lambda c, a=labels: c.isin(*a)), True) for labels in fv.REPORT_LABELS.values()]
-    )
-    return F.when(~F.exists(places, lambda p: p == 0), F.transform(places, lambda p: (p - 1).cast("int")))
+
+    def place(labels: tuple[str, ...]) -> Column:
+        return F.array_position(F.transform(folded_cells, lambda c: c.isin(*labels)), True)
+
+    found = F.array(*[place(labels) for labels in fv.REPORT_LABELS.values()])
+    return N.let(found, lambda places: F.when(~F.exists(places, lambda p: p == 0), F.transform(places, lambda p: (p - 1).cast("int"))))
 
 
 def _header(folded_rows: Column) -> Column:
@@ -41,21 +43,29 @@ def _header(folded_rows: Column) -> Column:
         one = F.get(folded_rows, at)
         next_row = F.coalesce(F.get(folded_rows, at + 1), F.array().cast("array<string>"))
         joined = F.zip_with(one, next_row, lambda a, b: F.trim(F.concat_ws(" ", a, b)))
-        places = _header_places(F.when(two, joined).otherwise(one))
+        places = N.let(F.when(two, joined).otherwise(one), _header_places)
         found = F.struct(places.alias("p"), (at + 1 + two.cast("int")).alias("inicio"))
-        return F.when((at < F.size(folded_rows)) & places.isNotNull(), found)
+        return F.when(at < F.size(folded_rows), found)
 
-    return first_of(F.transform(F.sequence(F.lit(0), F.lit(9)), attempt))
+    attempts = F.transform(F.sequence(F.lit(0), F.lit(9)), attempt)
+    return F.get(F.filter(attempts, lambda h: h["p"].isNotNull()), F.lit(0))
 
 
 def _table_values(table: Column) -> Column:
     """One ``struct`` of field texts per data row of a table."""
-    rows = clean_rows(table)
-    header = _header(fold_rows(rows))
+    return N.let(clean_rows(table), _values_of_rows)
+
 
+def _values_of_rows(rows: Column) -> Column:
+    header = N.let(fold_rows(rows), _header)
+    return N.let(F.struct(rows.alias("r"), header.alias("h")), lambda t: _rows_below(t["r"], t["h"]))
+
+
+def _rows_below(rows: Column, header: Column) -> Column:
     def values(row: Column) -> Column:
         cells = [F.coalesce(F.get(row, header["p"][i]), F.lit("")).alias(f) for i, f in enumerate(FIELDS)]
-        return F.when(_header_places(F.transform(row, lambda c: T.squash(T.fold(c)))).isNull(), F.struct(*cells))
+        own_header = N.let(F.transform(row, lambda c: T.squash(T.fold(c))), _header_places)
+        return F.when(own_header.isNull(), F.struct(*cells))
 
     data = F.transform(upto(rows, header["inicio"] + 1), values)
     return F.when(header.isNotNull(), F.filter(data, lambda v: v.isNotNull()))
@@ -77,28 +87,35 @@ def _text_values(text: Column) -> Column:
 
 def _record(values: Column, file_remittance: Column) -> Column:
     """Typed record of the field texts; ``completo`` and ``erro`` say what became of it."""
-    compact = T.digits(values["cd_atendimento"]) == ""
     groups = F.regexp_extract_all(values["numero_conta"], F.lit(r"(\d+)"), F.lit(1))
-    parts = F.when(F.size(groups) == 3, F.slice(groups, 2, 2)).otherwise(groups)
-    split = compact & (F.size(parts) == 2)
-    account = F.when(split, F.get(parts, F.lit(0))).otherwise(values["numero_conta"])
-    attendance = F.when(split, F.get(parts, F.lit(1))).otherwise(T.digits(values["cd_atendimento"]))
-    remittance = F.coalesce(T.digits(values["cd_remessa"]).try_cast("bigint"), file_remittance)
-    month = D.parse_document_month(values["competencia"])
-    amount = N.parse_document_number(values["valor"])
-    patient = T.edge_trim(values["nome_paciente"])
-    bad = N.bad_document_number(values["valor"]) | (T.edge_trim(values["competencia"]).isNotNull() & month.isNull())
-    complete = remittance.isNotNull() & patient.isNotNull() & month.isNotNull() & amount.isNotNull()
+    parts = {
+        "grupos": F.when(F.size(groups) == 3, F.slice(groups, 2, 2)).otherwise(groups),
+        "atendimento": T.digits(values["cd_atendimento"]),
+        "remessa": F.coalesce(T.digits(values["cd_remessa"]).try_cast("bigint"), file_remittance),
+        "paciente": T.edge_trim(values["nome_paciente"]),
+        "mes": D.parse_document_month(values["competencia"]),
+        "valor": N.parse_document_number(values["valor"]),
+        "com_mes": T.edge_trim(values["competencia"]).isNotNull(),
+        "com_valor": T.edge_trim(values["valor"]).isNotNull(),
+    }
+    return N.let(F.struct(*[v.alias(n) for n, v in parts.items()]), lambda p: _assembled(values, p))
+
+
+def _assembled(values: Column, p: Column) -> Column:
+    split = (p["atendimento"] == "") & (F.size(p["grupos"]) == 2)
+    account = F.when(split, F.get(p["grupos"], F.lit(0))).otherwise(values["numero_conta"])
+    attendance = F.when(split, F.get(p["grupos"], F.lit(1))).otherwise(p["atendimento"])
+    has_month, has_value = p["mes"].isNotNull(), p["valor"].isNotNull()
     return F.struct(
-        remittance.alias("cd_remessa"),
-        patient.alias("nome_paciente"),
+        p["remessa"].alias("cd_remessa"),
+        p["paciente"].alias("nome_paciente"),
         T.edge_trim(values["numero_guia"]).alias("numero_guia"),
         T.edge_trim(account).alias("numero_conta"),
-        T.blank_to_null(attendance).try_cast("bigint").alias("cd_atendimento"),
-        month.alias("competencia"),
-        amount.alias("valor"),
-        complete.alias("completo"),
-        bad.alias("erro"),
+        attendance.try_cast("bigint").alias("cd_atendimento"),
+        p["mes"].alias("competencia"),
+        p["valor"].alias("valor"),
+        (p["remessa"].isNotNull() & p["paciente"].isNotNull() & has_month & has_value).alias("completo"),
+        ((p["com_valor"] & ~has_value) | (p["com_mes"] & ~has_month)).alias("erro"),
     )
 
 
@@ -109,12 +126,12 @@ def _open(pages: DataFrame, records: Column) -> DataFrame:
 def parse_report_tables(pages: DataFrame) -> DataFrame:
     """Records of the report tables; a page without any takes its labelled text."""
     named = pages.withColumn("_remessa", remittance_of_file("documento_nome"))
-    staged = named.withColumn("_valores", F.flatten(F.transform("tables", lambda t: F.coalesce(_table_values(t), F.array().cast(_VALUES)))))
-    typed = staged.withColumn("_linhas", F.transform("_valores", lambda v: _record(v, F.col("_remessa"))))
-    kept = typed.withColumn("_linhas", F.filter("_linhas", lambda r: r["completo"] | r["erro"]))
-    fallback = kept.withColumn(
-        "_texto",
-        F.when(~F.exists("_linhas", lambda r: r["completo"]), F.transform(F.array(_text_values(F.col("text"))), lambda v: _record(v, F.col("_remessa")))),
+    staged = fence(named, _valores=F.flatten(F.transform("tables", lambda t: F.coalesce(_table_values(t), F.array().cast(_VALUES)))))
+    typed = fence(staged, _todas=F.transform("_valores", lambda v: _record(v, F.col("_remessa"))))
+    kept = typed.withColumn("_linhas", F.filter("_todas", lambda r: r["completo"] | r["erro"]))
+    fallback = fence(
+        kept,
+        _texto=F.when(~F.exists("_linhas", lambda r: r["completo"]), F.transform(F.array(_text_values(F.col("text"))), lambda v: _record(v, F.col("_remessa")))),
     )
     records = F.when(F.col("_texto").isNull(), F.col("_linhas")).otherwise(F.concat("_linhas", "_texto"))
     return _open(fallback, records).filter("completo or erro")
@@ -123,17 +140,24 @@ def parse_report_tables(pages: DataFrame) -> DataFrame:
 _VALUES = "array<struct<" + ",".join(f"{f}:string" for f in FIELDS) + ">>"
 
 
-def _word_values(month: Column) -> Column:
-    """Field texts of the table rows of one page of positioned words."""
+def _table_words() -> tuple[Column, Column]:
+    """(top of the header, words between header and total) of one page."""
     low, high = fv.REPORT_HEADER_X
     words = F.col("words")
     head = F.filter(
         words, lambda w: (w["x0"] >= low) & (w["x0"] < high) & T.fold(w["text"]).startswith(fv.REPORT_HEADER_WORD)
     )
-    header_top = F.array_min(F.transform(head, lambda w: w["top"]))
+    top_of_header = F.array_min(F.transform(head, lambda w: w["top"]))
+    header_top = F.col("_topo")
     totals = F.filter(words, lambda w: (w["top"] > header_top) & T.fold(w["text"]).startswith(fv.REPORT_TOTAL_WORD))
     total_top = F.coalesce(F.array_min(F.transform(totals, lambda w: w["top"])), F.col("height"))
-    data = F.filter(words, lambda w: (w["top"] > header_top + fv.REPORT_HEADER_GAP) & (w["top"] < total_top))
+    end = N.let(total_top, lambda t: F.filter(words, lambda w: (w["top"] > header_top + fv.REPORT_HEADER_GAP) & (w["top"] < t)))
+    return top_of_header, end
+
+
+def _word_values(month: Column) -> Column:
+    """Field texts of the table rows of one page of positioned words."""
+    data = F.col("_dados")
     tops = F.array_sort(F.array_distinct(F.transform(data, lambda w: w["top"])))
     # A row starts at the first word more than the tolerance below the start of the row before.
     anchors = F.aggregate(
@@ -145,9 +169,13 @@ def _word_values(month: Column) -> Column:
     )
 
     def values(anchor: Column) -> Column:
+        return N.let(ordered_row(anchor), texts_of)
+
+    def ordered_row(anchor: Column) -> Column:
         row = F.filter(data, lambda w: (w["top"] >= anchor) & (w["top"] - anchor <= fv.REPORT_ROW_TOLERANCE))
-        ordered = F.array_sort(F.transform(row, lambda w: F.struct(w["x0"].alias("x0"), w["top"].alias("top"), w["text"].alias("text"))))
+        return F.array_sort(F.transform(row, lambda w: F.struct(w["x0"].alias("x0"), w["top"].alias("top"), w["text"].alias("text"))))
 
+    def texts_of(ordered: Column) -> Column:
         def between(field: str) -> Column:
             start, end = fv.REPORT_COLUMN_X[field]
             inside = F.filter(ordered, lambda w: (w["x0"] >= start) & (w["x0"] < F.lit(end)))
@@ -158,7 +186,7 @@ def _word_values(month: Column) -> Column:
         texts["competencia"] = F.coalesce(D.month_year(month), F.lit(""))
         return F.struct(*[texts[f].alias(f) for f in FIELDS])
 
-    return F.when(header_top.isNotNull(), F.transform(anchors, values))
+    return F.when(F.col("_topo").isNotNull(), F.transform(anchors, values))
 
 
 def parse_report_words(pages: DataFrame) -> DataFrame:
@@ -166,11 +194,13 @@ def parse_report_words(pages: DataFrame) -> DataFrame:
     named = pages.filter(F.size("words") > 0).withColumns(
         {"_remessa": remittance_of_file("documento_nome"), "_mes": D.parse_report_month_label(F.coalesce("text", F.lit("")))}
     )
-    staged = named.withColumn("_valores", _word_values(F.col("_mes")))
+    top, data = _table_words()
+    placed = fence(fence(named, _topo=top), _dados=data)
+    staged = fence(placed, _todos=_word_values(F.col("_mes")))
     kept = staged.withColumn(
         "_valores",
         F.filter(
-            "_valores",
+            "_todos",
             lambda v: (v["nome_paciente"] != "")
             & (N.parse_document_number(v["valor"]).isNotNull() | N.bad_document_number(v["valor"])),
         ),

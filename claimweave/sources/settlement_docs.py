@@ -13,7 +13,7 @@ from claimweave.functions import text as T
 from claimweave.functions.identity import fingerprint, occurrence_id
 from claimweave.operators.ordered import carry_forward
 from claimweave.schemas import SETTLEMENTS
-from claimweave.sources.pages import DOCUMENT, clean_rows, first_of, fold_rows, upto
+from claimweave.sources.pages import DOCUMENT, clean_rows, fence, first_of, fold_rows, upto
 
 _MONEY = (
     "valor_informado",
@@ -70,14 +70,14 @@ def _header_kind(folded: Column) -> Column:
     found = F.exists(folded, lambda c: c.isin(*fv.PROTOCOL_HEADER["nr"]))
     for name, labels in fv.PROTOCOL_HEADER.items():
         if name != "nr":
-            found = found & F.exists(folded, lambda c, ls=labels: _contains_any(c, ls))
+            found = found & _any_cell_contains(folded, labels)
     return F.when(found, F.exists(folded, lambda c: c.contains(fv.PROTOCOL_ORIGIN_LABEL)))
 
 
-def _contains_any(cell: Column, labels: tuple[str, ...]) -> Column:
-    hit = cell.contains(labels[0])
-    for label in labels[1:]:
-        hit = hit | cell.contains(label)
+def _any_cell_contains(cells: Column, labels: tuple[str, ...]) -> Column:
+    hit = F.lit(False)
+    for label in labels:
+        hit = hit | F.exists(cells, lambda c: c.contains(label))  # noqa: B023  (used at once)
     return hit
 
 
@@ -93,12 +93,12 @@ def _header(folded: Column) -> Column:
             F.sequence(F.lit(0), F.greatest(width - 1, F.lit(0))),
             lambda j: F.array_join(F.filter(F.transform(rows, lambda r: F.get(r, j)), lambda c: c != ""), " "),
         )
-        kind = _header_kind(joined)
+        kind = N.let(joined, _header_kind)
         inside = start + size <= F.size(folded)
-        return F.when(inside & kind.isNotNull(), F.struct(kind.alias("origem"), (start + size).alias("inicio")))
+        return F.when(inside, F.struct(kind.alias("origem"), (start + size).alias("inicio")))
 
     attempts = F.sequence(F.lit(0), F.greatest(F.size(folded) * depth - 1, F.lit(0)))
-    return first_of(F.transform(attempts, attempt))
+    return F.get(F.filter(F.transform(attempts, attempt), lambda h: h["origem"].isNotNull()), F.lit(0))
 
 
 def _protocol_cells(rows: Column, start: Column) -> Column:
@@ -106,7 +106,7 @@ def _protocol_cells(rows: Column, start: Column) -> Column:
 
     def values(row: Column) -> Column:
         filled = F.filter(row, lambda c: c != "")
-        own_header = _header_kind(F.transform(row, lambda c: T.squash(T.fold(c)))).isNotNull()
+        own_header = N.let(F.transform(row, lambda c: T.squash(T.fold(c))), _header_kind).isNotNull()
         good = (F.size(filled) >= 4) & F.get(filled, F.lit(0)).rlike("[0-9]") & ~own_header
         return F.when(
             good,
@@ -129,8 +129,8 @@ def parse_settlement_tables(pages: DataFrame) -> DataFrame:
     of an earlier table is carried forward over those rows.
     """
     tables = pages.select(*DOCUMENT, "page", F.posexplode("tables").alias("tabela", "_t"))
-    cleaned = tables.withColumn("_linhas", clean_rows(F.col("_t"))).filter(F.size("_linhas") > 0).drop("_t")
-    kind = cleaned.withColumn("_resumo", _is_summary(F.col("_linhas")))
+    cleaned = fence(tables, _linhas=clean_rows(F.col("_t"))).drop("_t").filter(F.size("_linhas") > 0)
+    kind = fence(cleaned, _resumo=_is_summary(F.col("_linhas")))
 
     summaries = (
         kind.filter("_resumo")
@@ -138,7 +138,8 @@ def parse_settlement_tables(pages: DataFrame) -> DataFrame:
         .groupBy(*DOCUMENT)
         .agg(F.max_by("resumo", F.struct("page", "tabela")).alias("resumo"))
     )
-    headed = kind.filter("not _resumo").withColumn("_cabecalho", _header(fold_rows(F.col("_linhas"))))
+    headed = fence(kind.filter("not _resumo"), _dobradas=fold_rows(F.col("_linhas")))
+    headed = fence(headed, _cabecalho=_header(F.col("_dobradas")))
     short = headed.select(
         *DOCUMENT,
         "page",
