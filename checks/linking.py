@@ -429,7 +429,7 @@ def _enrich(f):
 
 _REGISTER_SQL = """
 base as materialized (select upper(trim(numero_processo)) processo, cd_remessa, conta, cd_lancamento, nullif(trim(codigo_glosa), '') motivo,
-    min(id_registro) id_registro, row_number() over (order by min(id_registro)) id from linked where conta % 2 = 1 group by 1, 2, 3, 4, 5),
+    min(id_registro) id_registro, cast('0x' || substr(min(id_registro), 1, 15) as bigint) id from linked where conta % 2 = 1 group by 1, 2, 3, 4, 5),
 conc as materialized (select distinct upper(trim(numero_processo)) processo, cd_remessa, 500000 + conta % 1000 * 100 + cd_remessa rem_id
     from linked where conta % 3 = 0),
 links as materialized (select processo, cd_remessa, max(rem_id) rem_id from conc group by 1, 2),
@@ -450,16 +450,44 @@ fresh as materialized (select r.* from rolled r where not exists (select 1 from
 """
 
 
+_LINKED_LINES = """linked as materialized (select line_id id_registro, processo numero_processo, remessa cd_remessa, l_orderkey conta,
+    cast(l_linenumber as bigint) cd_lancamento, case when l_linenumber = 7 then ' ' else ' ' || (l_linenumber * 100) end codigo_glosa,
+    'PRESTADOR ' || l_suppkey nm_prestador, price valor_item, cast(price * disc as decimal(18,2)) valor_glosa, 'ITEM ' || l_partkey descricao,
+    'regra ' || l_linenumber criterio from lines where l_returnflag = 'R'), """
+
+
 def _register_sql(select: str) -> str:
-    head = sql("", "linked")
-    return head.rstrip() + ", " + _REGISTER_SQL + " " + select
+    return sql("", "lines").rstrip() + ", " + _LINKED_LINES + _REGISTER_SQL + " " + select
+
+
+def _linked_lines(f: Frames):
+    """Linked denials straight from the returned lines, so these queries measure the register only."""
+    known = f.lines().filter("l_returnflag = 'R'").selectExpr(
+        "line_id as id_registro",
+        "processo as numero_processo",
+        "remessa as cd_remessa",
+        "l_orderkey as conta",
+        "cast(l_linenumber as bigint) as cd_lancamento",
+        "case when l_linenumber = 7 then ' ' else concat(' ', l_linenumber * 100) end as codigo_glosa",
+        "concat('PRESTADOR ', l_suppkey) as nm_prestador",
+        "price as valor_item",
+        "cast(price * disc as decimal(18,2)) as valor_glosa",
+        "concat('ITEM ', l_partkey) as descricao",
+        "concat('regra ', l_linenumber) as criterio_correspondencia",
+        "ship as data_realizacao",
+    )
+    absent = {
+        "bigint": "cd_paciente cd_atendimento cd_prestador cd_convenio cd_gru_pro cd_gru_fat",
+        "string": "nm_paciente nm_convenio tp_atendimento cd_pro_fat cd_tuss nr_guia ds_gru_pro ds_gru_fat",
+        "timestamp_ntz": "dt_atendimento dt_alta dt_lancamento",
+        "decimal(18,4)": "qt_lancamento",
+    }
+    return known.withColumns({n: F.lit(None).cast(kind) for kind, names in absent.items() for n in names.split()})
 
 
 def _register_frames(f: Frames):
     """(linked, conciliations, conciliation remittances, register, tracking)."""
-    from pyspark.sql import Window as W
-
-    rows = linked(f).withColumn("_p", T.upper_trim("numero_processo"))
+    rows = _linked_lines(f).withColumn("_p", T.upper_trim("numero_processo"))
     motive = T.blank_to_null(F.trim("codigo_glosa"))
     conciliated = rows.filter("conta % 3 = 0").select(
         "_p", "cd_remessa", F.expr("500000 + conta % 1000 * 100 + cd_remessa").alias("rem")
@@ -477,7 +505,7 @@ def _register_frames(f: Frames):
         rows.filter("conta % 2 = 1")
         .groupBy("_p", "cd_remessa", "conta", "cd_lancamento", motive.alias("motivo_glosa"))
         .agg(F.min("id_registro").alias("id_registro"))
-        .withColumn("id", F.row_number().over(W.orderBy("id_registro")).cast("bigint"))
+        .withColumn("id", F.expr("cast(conv(substr(id_registro, 1, 15), 16, 10) as bigint)"))
     )
     links = G.active_links(conciliations, remittances).withColumnRenamed("_processo", "_p")
     old = base.join(links, ["_p", "cd_remessa"], "left").withColumns(
@@ -498,7 +526,7 @@ def _register_frames(f: Frames):
         F.lit("antigo").alias(_CRITERION),
         F.lit(None).cast("timestamp_ntz").alias("data_importacao"),
     ).select(*TRACKING.fieldNames())
-    return linked(f), conciliations, remittances, register, tracking
+    return _linked_lines(f), conciliations, remittances, register, tracking
 
 
 @query("deactivate_stale", _register_sql("select id, ativo sn_ativo from cleaned"))
