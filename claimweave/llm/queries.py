@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimweave.llm.decontaminate import find_items
+from claimweave.llm.language_id import held_out, identify
+from claimweave.llm.secrets import find_secrets
 from claimweave.llm.tables import table
 from claimweave.llm.token_counts import count_tokens
 
@@ -26,3 +29,30 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+@query
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "secrets.*")
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found, _ = identify(docs)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"))
+
+
+@query
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_items(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("leaks.words", F.lit(0).cast("long"), lambda a, x: a + x["end"] - x["start"])
+    return found.select(
+        "doc_id",
+        F.col("leaks.n_words").alias("n_words"),
+        n_hit.alias("n_hit"),
+        F.size("leaks.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("leaks.items", ",").cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimweave.llm.tables import fresh, quoted
 
@@ -138,5 +139,5 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, text: str = "text") -> Da
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts, pa.int64())], names=[*batch.schema.names, n_tokens])
 
     sized = docs.withColumn(n_bytes, F.coalesce(F.octet_length(quoted(text)), F.lit(0)).cast("long"))
-    schema = sized.schema.add(n_tokens, "long")
+    schema = T.StructType([*sized.schema.fields, T.StructField(n_tokens, T.LongType())])
     return sized.mapInArrow(task, schema)
