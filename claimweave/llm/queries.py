@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimweave.llm.decontaminate import find_items
 from claimweave.llm.language_id import held_out, identify
+from claimweave.llm.mixing import Mix
 from claimweave.llm.secrets import find_secrets
 from claimweave.llm.tables import table
 from claimweave.llm.token_counts import count_tokens
@@ -56,3 +57,9 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         F.sha2(F.array_join("leaks.items", ",").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+@query
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = Mix(table(spark, sf_dir, "documents"))
+    return mix.taken().select("doc_id", "size", "source_size", "target", "taken")
