@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from claimweave.llm.decontaminate import find_items
 from claimweave.llm.language_id import held_out, identify
 from claimweave.llm.mixing import Mix
+from claimweave.llm.ngram_join import NgramJoin
 from claimweave.llm.secrets import find_secrets
 from claimweave.llm.tables import table
 from claimweave.llm.token_counts import count_tokens
@@ -63,3 +64,9 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = Mix(table(spark, sf_dir, "documents"))
     return mix.taken().select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    join = NgramJoin(table(spark, sf_dir, "documents"), width=4, percent=85)
+    return join.documents().select("doc_id", F.col("n").alias("n_shingles"), "component_id")
