@@ -124,7 +124,8 @@ class Mix:
     def taken(self) -> DataFrame:
         """Documents with ``taken``, the words the mix takes from them, repeats counted."""
         draws = self.slots().groupBy("sid", "block", "length").agg(F.count("*").alias("times"))
-        joined = self.pieces().join(draws, ["sid", "block"], "left")
+        # the planner takes exploded rows for as few as their parents; either side grows with the data
+        joined = self.pieces().hint("merge").join(draws, ["sid", "block"], "left")
         words = F.greatest(F.least(F.col("high"), F.col("length")) - F.col("low"), F.lit(0).cast("long")) * F.col("times")
         names = ["doc_id", "source", "size", *self.kept, "source_size", "target"]
         some = joined.groupBy("sid", "start", *names).agg(F.coalesce(F.sum(words), F.lit(0).cast("long")).alias("taken")).select(*names, "taken")
@@ -138,7 +139,7 @@ def mixed_blocks(docs: DataFrame, text: str = "text", **settings) -> DataFrame:
     body = F.col(f"kept_{text}")
     words = F.slice(F.regexp_extract_all(body, F.lit(_WORD), 0), (F.col("block") * mix.block + F.col("low") - F.col("start") + 1).cast("int"), (F.col("high") - F.col("low")).cast("int"))
     parts = mix.pieces().select("sid", "block", "source", "low", words.alias("words"))
-    rows = mix.slots().join(parts, ["sid", "block"]).where("low < length")
+    rows = mix.slots().hint("merge").join(parts, ["sid", "block"]).where("low < length")
     gathered = rows.groupBy("shard", "place", "sid", "source", "length").agg(F.array_sort(F.collect_list(F.struct("low", "words"))).alias("parts"))
     flat = F.flatten(F.transform("parts", lambda p: p["words"]))
     return gathered.select("shard", "place", "source", F.slice(flat, F.lit(1), F.col("length").cast("int")).alias("words"))
