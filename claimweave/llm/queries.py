@@ -11,10 +11,14 @@ from claimweave.llm.decontaminate import find_items
 from claimweave.llm.language_id import held_out, identify
 from claimweave.llm.mixing import Mix
 from claimweave.llm.ngram_join import NgramJoin
+from claimweave.llm.pii import pseudonymise
 from claimweave.llm.secrets import find_secrets
 from claimweave.llm.tables import table
 from claimweave.llm.token_counts import count_tokens
 
+#: Key of the registered query; a real run takes its own from a secret store.
+PII_KEY = "registered query"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -70,3 +74,8 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     join = NgramJoin(table(spark, sf_dir, "documents"), width=4, percent=85)
     return join.documents().select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+@query
+def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"))
