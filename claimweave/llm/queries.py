@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimweave.llm.ann import nearest
 from claimweave.llm.decontaminate import find_items
 from claimweave.llm.language_id import held_out, identify
 from claimweave.llm.mixing import Mix
@@ -79,3 +80,8 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(table(spark, sf_dir, "documents"), PII_KEY).select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"))
+
+
+@query
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
