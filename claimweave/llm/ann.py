@@ -52,14 +52,13 @@ def _spectral_halves(weights: np.ndarray) -> np.ndarray:
 
 def balanced_parts(vectors: np.ndarray, parts: int, neighbours: int = GRAPH_NEIGHBOURS) -> np.ndarray:
     """Part of each vector; all parts have the same size, give or take one."""
-    near = vectors @ vectors.T
-    np.fill_diagonal(near, -np.inf)
     k = min(neighbours, len(vectors) - 1)
-    graph = np.zeros(near.shape, np.float32)
-    if k > 0:
-        nearest = np.argpartition(-near, k - 1, axis=1)[:, :k]
-        np.put_along_axis(graph, nearest, 1.0, axis=1)
-        graph = np.maximum(graph, graph.T)
+    graph = np.zeros((len(vectors), len(vectors)), np.float32)
+    for at in range(0, len(vectors) if k > 0 else 0, 256):
+        far = -(vectors[at : at + 256] @ vectors.T)
+        far[np.arange(len(far)), np.arange(at, at + len(far))] = np.inf
+        np.put_along_axis(graph[at : at + 256], np.argpartition(far, k - 1, axis=1)[:, :k], 1.0, axis=1)
+    np.maximum(graph, graph.T.copy(), out=graph)
     label = np.zeros(len(vectors), np.int64)
     step = 1
     while step < parts:
