@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from claimweave.llm.ann import nearest
 from claimweave.llm.decontaminate import find_items
 from claimweave.llm.language_id import held_out, identify
+from claimweave.llm.licences import find_licences
+from claimweave.llm.licences import train as train_licences
 from claimweave.llm.mixing import Mix
 from claimweave.llm.ngram_join import NgramJoin
 from claimweave.llm.pii import pseudonymise
 from claimweave.llm.secrets import find_secrets
+from claimweave.llm.substring_dedup import repeated_passages
 from claimweave.llm.tables import table
 from claimweave.llm.token_counts import count_tokens
 
@@ -85,3 +88,19 @@ def op8_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, ids = repeated_passages(table(spark, sf_dir, "documents"))
+    later = ids.select(F.col("row_key"), "doc_id")
+    earlier = ids.select(F.col("row_key").alias("other_key"), F.col("doc_id").alias("earlier_doc_id"))
+    return found.join(later, "row_key").join(earlier, "other_key").select("doc_id", "earlier_doc_id", F.col("start").alias("start_word"), F.col("end").alias("end_word"))
+
+
+@query
+def op2_licence_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_licences(docs, train_licences(docs))
+    families = F.array_join(F.array_sort(F.array_distinct(F.transform("licences", lambda x: x["family"]))), ",")
+    return found.select("doc_id", families.alias("families"), F.size("licences").cast("long").alias("n_paragraphs"), F.array_max(F.transform("licences", lambda x: x["probability"])).alias("probability"))
