@@ -71,6 +71,29 @@ def _money(f):
     )
 
 
+@query(
+    "amount_limits",
+    """select line_id, case when k <= 16 then cast(repeat('9', k) as decimal(18,2)) end extrato, k > 16 extrato_ruim, case when k <= 16 then cast(repeat('9', k) as decimal(18,2)) end documento,
+ k > 16 documento_ruim, cast(l_orderkey + 0.33 as decimal(18,2)) pedido
+from (select md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(round(l_extendedprice*100) as bigint))) line_id, l_orderkey, l_linenumber + 12 k from lineitem)""",
+)
+def _limits(f):
+    base = f.t("lineitem").selectExpr(
+        "md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(round(l_extendedprice*100) as bigint))) as line_id",
+        "concat(repeat('9', cast(l_linenumber + 12 as int)), ',00') as grande",
+        # a dot far behind the comma
+        "concat(l_orderkey, ',', repeat('3', 31), '.5') as longo",
+    )
+    return base.select(
+        "line_id",
+        N.parse_statement_number("grande").alias("extrato"),
+        N.bad_statement_number("grande").alias("extrato_ruim"),
+        N.parse_document_number("grande").alias("documento"),
+        N.bad_document_number("grande").alias("documento_ruim"),
+        N.parse_request_number("longo").alias("pedido"),
+    )
+
+
 @query(
     "safe_account_cast",
     """select doc_id, case when length(d) between 1 and 18 then cast(d as bigint) end conta, case when length(n) between 1 and 18 then cast(n as bigint) end tamanho

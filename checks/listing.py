@@ -8,6 +8,7 @@ from checks.frames import Frames, run_ts
 from checks.fields import _IDENTITY_FIELDS, _IDENTITY_SQL
 from checks.registry import query
 from claimweave.functions import numbers as N
+from claimweave.operators.ordered import running_number
 from claimweave.plans import incremental as J
 from claimweave.plans import issuance as S
 from claimweave.schemas import PROCESS_HISTORY
@@ -154,18 +155,39 @@ def _summary(f):
     return J.run_summary(_listing(f), _transitions(f), failed)
 
 
+_OPENED = "case when o_orderkey % 50 = 0 then null else o_orderdate end"
+_PROGRESS = "case o_orderstatus when 'F' then ' finalizado' when 'O' then 'TRAMITANDO ' else 'Rascunho' end"
+
+
 @query(
     "ordered_selection",
-    """select o_orderkey, row_number() over (order by o_orderpriority nulls last, o_orderdate desc, o_orderkey) ordem from orders
- qualify ordem <= 100""",
+    f"""select numero_processo, row_number() over (order by data_abertura desc nulls last, numero_processo) ordem
+from (select 'P' || o_orderkey || '/' || (2022 + o_custkey % 8) numero_processo, {_PROGRESS} status, {_OPENED} data_abertura,
+  2022 + o_custkey % 8 ano from orders)
+where upper(trim(status)) in ('FINALIZADO', 'TRAMITANDO') and ano >= 2024""",
 )
 def _ordered(f):
-    from pyspark.sql import Window as W
+    processes = f.t("orders").selectExpr(
+        "concat('P', o_orderkey, '/', 2022 + o_custkey % 8) as numero_processo",
+        f"{_PROGRESS} as status_processo",
+        f"{_OPENED} as data_abertura",
+    )
+    queue = J.report_queue(processes)
+    # Newest day first, undated last; the rank is counted day by day.
+    day = F.coalesce(-F.unix_date(F.col("data_abertura").cast("date")), F.lit(2**31 - 1))
+    ranked = running_number(queue.withColumn("_dia", day), [], [F.col("numero_processo")], "_dia", "ordem")
+    return ranked.select("numero_processo", F.col("ordem").cast("bigint").alias("ordem"))
 
-    order = (F.col("o_orderpriority").asc_nulls_last(), F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey"))
-    # A top-k report: the limit comes before the rank, so the rank sees k rows only.
-    top = f.t("orders").select("o_orderkey", "o_orderpriority", "o_orderdate").orderBy(*order).limit(100)
-    return top.select("o_orderkey", F.row_number().over(W.orderBy(*order)).cast("bigint").alias("ordem"))
+
+@query(
+    "pending_unset_flag",
+    """select o_orderkey from orders where o_orderstatus = 'F' and (o_orderkey % 3 = 0 or o_orderkey % 3 = 1)""",
+)
+def _pending(f):
+    # The flag is unset, false or true.
+    flag = "case o_orderkey % 3 when 0 then null when 1 then false else true end as detalhes_finalizados_extraidos"
+    status = "case o_orderstatus when 'F' then 'Finalizado' else 'TRAMITANDO' end as status_processo"
+    return J.pending_details(f.t("orders").selectExpr("o_orderkey", flag, status)).select("o_orderkey")
 
 
 # --- issuance -------------------------------------------------------------

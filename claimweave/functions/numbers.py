@@ -40,19 +40,21 @@ def parse_document_number(c: Column | str, to: str = MONEY) -> Column:
     return F.when(squash(c).rlike(r"(?i)\A(?:R ?\$ ?)?-\z"), F.lit(0).cast(to)).otherwise(number)
 
 
-def bad_statement_number(c: Column | str) -> Column:
-    return dash_to_null(c).isNotNull() & parse_statement_number(c, "decimal(38,10)").isNull()
+def bad_statement_number(c: Column | str, to: str = MONEY) -> Column:
+    """Text that gives no number of type ``to``: unreadable or too large. More decimals are rounded half-up."""
+    return dash_to_null(c).isNotNull() & parse_statement_number(c, to).isNull()
 
 
-def bad_document_number(c: Column | str) -> Column:
-    return edge_trim(c).isNotNull() & parse_document_number(c, "decimal(38,10)").isNull()
+def bad_document_number(c: Column | str, to: str = MONEY) -> Column:
+    """Text that gives no number of type ``to``: unreadable or too large. More decimals are rounded half-up."""
+    return edge_trim(c).isNotNull() & parse_document_number(c, to).isNull()
 
 
 def parse_request_number(c: Column | str) -> Column:
     """Amount of a request row: optional ``R$``; a comma means Brazilian style; half-even cents."""
     text = F.regexp_replace(squash(_col(c).cast("string")), r"R\$| ", "")
-    number = _swap_comma(F.regexp_replace(text, r"\.(?=.*,)|(?<=,.{0,30})\.", ""))
-    return F.bround(number.try_cast("decimal(30,10)"), 2).cast(MONEY)
+    number = F.when(F.contains(text, F.lit(",")), F.translate(text, ",.", ".")).otherwise(text)
+    return F.bround(number.try_cast("decimal(30,10)"), 2).try_cast(MONEY)
 
 
 def let(value: Column, body) -> Column:

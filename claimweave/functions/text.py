@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import sys
 import unicodedata
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,20 +15,41 @@ WHITESPACE = r"[\p{IsWhite_Space}\x1c-\x1f]+"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
 
-def _accent_table() -> tuple[str, str]:
-    """Every single character whose compatibility form is one base character."""
-    source, target = [], []
-    blocks = (range(0xA0, 0x250), range(0x1E00, 0x1F00), range(0x2000, 0x20A0), range(0xFF01, 0xFF5F))
-    for code in chain(*blocks):
+def _accent_tables() -> tuple[str, str, dict[str, str]]:
+    """Every character whose compatibility form differs: to one base character, or to none or several."""
+    source, target, several = [], [], {}
+    for code in range(0x80, sys.maxunicode + 1):
         char = chr(code)
         base = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
-        if len(base) == 1 and base != char:
+        # Hangul syllables fall apart into letters, by rule; combining marks go by a pattern
+        if base == char or not base or 0xAC00 <= code < 0xD7A4:
+            continue
+        if len(base) == 1:
             source.append(char)
             target.append(base)
-    return "".join(source), "".join(target)
+        else:
+            several[char] = base
+    return "".join(source), "".join(target), several
 
 
-_ACCENTED, _BASE = _accent_table()
+_ACCENTED, _BASE, _SEVERAL = _accent_tables()
+_SEVERAL_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in _SEVERAL) + "\\x{ac00}-\\x{d7a3}]"
+
+
+def _spelled_out(c: Column) -> Column:
+    """Ligatures, fractions and the like as their several characters; Hangul syllables as letters."""
+    table = F.from_json(F.lit(json.dumps(_SEVERAL)), "map<string,string>")
+
+    def hangul(x: Column) -> Column:
+        at = F.ascii(x) - 0xAC00
+        tail = at % 28
+        letters = F.array(0x1100 + F.floor(at / 588), 0x1161 + F.floor(at % 588 / 28), F.when(tail > 0, 0x11A7 + tail))
+        return F.array_join(F.transform(F.array_compact(letters), lambda k: F.decode(F.unhex(F.lpad(F.hex(k), 4, "0")), "UTF-16BE")), "")
+
+    def one(x: Column) -> Column:
+        return F.when(x <= "\x7f", x).when(x.between("\uac00", "\ud7a3"), hangul(x)).otherwise(F.coalesce(table[x], x))
+
+    return F.array_join(F.transform(F.split(c, ""), one), "")
 
 
 def _col(c: Column | str) -> Column:
@@ -64,8 +86,9 @@ def strip_zeros(c: Column | str) -> Column:
 
 def fold(c: Column | str) -> Column:
     """Lower case without accents (compatibility decomposition, marks dropped)."""
-    plain = F.regexp_replace(F.translate(_col(c), _ACCENTED, _BASE), r"\p{Mn}", "")
-    # Plain text, the usual case, needs no table lookup.
+    single = F.translate(_col(c), _ACCENTED, _BASE)
+    # Plain text, the usual case, needs no table lookup; few texts have characters of several letters.
+    plain = F.regexp_replace(F.when(single.rlike(_SEVERAL_CLASS), _spelled_out(single)).otherwise(single), r"\p{Mn}", "")
     return F.lower(F.when(_col(c).rlike(r"[^\x00-\x7f]"), plain).otherwise(_col(c)))
 
 

@@ -1,5 +1,6 @@
 """Column functions on small cases."""
 
+import unicodedata
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -91,3 +92,16 @@ def test_invoice_identity(spark):
 def test_phone_and_file_names(spark):
     assert column(spark, ["+55 85 98888-7777", "8533334444", "123"], N.format_phone) == ["(85)9888-87777", "(85)3333-4444", ""]
     assert column(spark, [' a/b: "c" ', " . "], T.safe_file_part) == ["a-b- -c-", "SEM INFORMACAO"]
+
+
+def test_numbers_beyond_the_type_are_bad(spark):
+    given = ["9999999999999999,99", "99999999999999999,00"]
+    for bad in (N.bad_statement_number, N.bad_document_number):
+        assert column(spark, given, bad) == [False, True]
+    assert column(spark, ["1," + "3" * 31 + ".5"], N.parse_request_number) == [Decimal("1.33")]
+
+
+def test_fold_beyond_latin(spark):
+    given = ["ﬁm ½ ™ ΆΈ йё", "한국 각 Ção", "𝐀𝟙 Ⅷ ㍿", "plain", None]
+    korean = unicodedata.normalize("NFKD", "한국 각")
+    assert column(spark, given, T.fold) == ["fim 1⁄2 tm αε ие", f"{korean} cao", "a1 viii 株式会社", "plain", None]
