@@ -185,8 +185,10 @@ def train(docs: DataFrame, text: str = "text", sample: int = SAMPLE_LINES) -> Cl
     """Classifier whose unknown class also learns from at most ``sample`` lines of ``docs``, cut to 300 characters."""
     line = F.substring(F.regexp_substr(quoted(text), F.lit(r"[^\n]{20,}")), 1, 300)
     lines = docs.select(line.alias("l")).where("l is not null and not lower(l) rlike 'licen[cs]|copyright|rights reserved|spdx|creative commons'")
-    drawn = lines.orderBy(F.xxhash64("l"), "l").limit(sample)
-    return Classifier([r["l"] for r in drawn.collect()])
+    # one line per class of hashes, the one of the least hash: no task and not the driver gets more than ``sample`` lines
+    least = F.min(F.struct(F.xxhash64("l").alias("h"), "l")).alias("least")
+    drawn = lines.groupBy(F.pmod(F.xxhash64("l"), F.lit(sample))).agg(least).select("least.*")
+    return Classifier([line for _, line in sorted(map(tuple, drawn.collect()))])
 
 
 def _candidate_lines(data: np.ndarray, offsets: np.ndarray, vocabulary: np.ndarray) -> Iterator[tuple[int, int, int]]:
