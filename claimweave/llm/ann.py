@@ -164,7 +164,10 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20, vec_id: str = "ve
     rows = vectors.select(quoted(vec_id).cast("long").alias("vec_id"), quoted(vector).alias("vector"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
     common = rows.where("vector is not null").groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
     rows = rows.where(usable(F.col("vector"), common["d"])) if common else rows.limit(0)
-    drawn = rows.select("vector", F.xxhash64("vec_id").alias("h"), "vec_id").orderBy("h", "vec_id").limit(sample).toArrow()
+    # the id of the least hash in each class of hashes: at most ``sample`` rows, whatever the number of tasks
+    hashed = rows.withColumn("h", F.xxhash64("vec_id"))
+    chosen = hashed.groupBy(F.pmod("h", F.lit(sample))).agg(F.min("h").alias("h")).select("h")
+    drawn = hashed.join(F.broadcast(chosen), "h", "left_semi").groupBy("h").agg(F.min("vector").alias("vector")).toArrow()
     if not drawn.num_rows:
         return spark.createDataFrame([], result)
     units = np.unique(_unit(_matrix(drawn["vector"])), axis=0)
