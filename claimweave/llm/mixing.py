@@ -85,7 +85,9 @@ class Mix:
         before = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, -1)
         self.sources = self.scratch.cut(sources.withColumn("first_slot", F.coalesce(F.sum("n_slots").over(before), F.lit(0).cast("long"))).coalesce(1))
         self.n_slots = self.sources.agg(F.sum("n_slots")).first()[0] or 0
-        self.documents = self._placed(sized, n_rows)
+        placed = self._placed(sized, n_rows)
+        # written where columns are kept, so that the pieces read none of them
+        self.documents = self.scratch.cut(placed) if self.kept else placed
 
     def _placed(self, sized: DataFrame, n_rows: int) -> DataFrame:
         """Documents with sid, source size, target, and where their words begin in the source's stream."""
@@ -125,10 +127,14 @@ class Mix:
         """Documents with ``taken``, the words the mix takes from them, repeats counted."""
         draws = self.slots().groupBy("sid", "block", "length").agg(F.count("*").alias("times"))
         # the planner takes exploded rows for as few as their parents; either side grows with the data
-        joined = self.pieces().hint("merge").join(draws, ["sid", "block"], "left")
+        joined = self.pieces().drop(*self.kept).hint("merge").join(draws, ["sid", "block"], "left")
         words = F.greatest(F.least(F.col("high"), F.col("length")) - F.col("low"), F.lit(0).cast("long")) * F.col("times")
         names = ["doc_id", "source", "size", *self.kept, "source_size", "target"]
-        some = joined.groupBy("sid", "start", *names).agg(F.coalesce(F.sum(words), F.lit(0).cast("long")).alias("taken")).select(*names, "taken")
+        small = [c for c in names if c not in self.kept]
+        some = joined.groupBy("sid", "start", *small).agg(F.coalesce(F.sum(words), F.lit(0).cast("long")).alias("taken"))
+        if self.kept:  # a document with words has its own place in its source's stream
+            some = some.select("sid", "start", "taken").join(self.documents.where("size > 0"), ["sid", "start"])
+        some = some.select(*names, "taken")
         none = self.documents.where("size = 0").select(*names, F.lit(0).cast("long").alias("taken"))
         return some.unionByName(none)
 
