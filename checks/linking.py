@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.frames import Frames, run_ts, sql
 from checks.registry import query
+from claimweave.api import run_linking
 from claimweave.functions import text as T
 from claimweave.operators.contracts import check_contracts
 from claimweave.plans import accounts as A
 from claimweave.plans import cascade as C
-from claimweave.plans import marts as M
 from claimweave.plans import register as G
 from claimweave.plans import report_table as U
 from claimweave.plans import staging as S
 from claimweave.schemas import REGISTER, TRACKING
+from claimweave.session import shared_folder
+from claimweave.sources.tables import SnapshotStore
 
 _CRITERION = "criterio_correspondencia"
 
@@ -27,8 +31,15 @@ def _resolved(f: Frames):
     return C.resolve(_outcomes(f), f.staged_items())
 
 
+def published(f: Frames, name: str):
+    """A model of one whole staged run, in a store of its own below the shared folder."""
+    store = SnapshotStore(f.spark, f"{shared_folder(f.spark)}/linking-{uuid.uuid4().hex[:12]}")
+    run_linking(store, f.inputs(), run_ts())
+    return f.spark.read.parquet(f"{store.root}/{name}/{store.versions()[name]}")
+
+
 def linked(f: Frames):
-    return M.linked_mart(f.denials(), _resolved(f))
+    return published(f, "linked_mart")
 
 
 @query(
@@ -267,8 +278,7 @@ where not exists (select 1 from resolved r where r.id_registro = d.id_registro)"
     ),
 )
 def _unlinked(f):
-    mart = M.unlinked_mart(f.denials(), f.remittances(), _outcomes(f), run_ts())
-    return mart.drop(
+    return published(f, "unlinked_mart").drop(
         "numero_guia_senha", "codigo_beneficiario", "codigo_glosa", "data_primeira_ocorrencia", "data_ultima_tentativa"
     )
 
@@ -287,7 +297,7 @@ from report_items i left join linked l on upper(trim(l.numero_processo)) = i.pro
     ),
 )
 def _items_mart(f):
-    return M.items_mart(f.report_items(), linked(f)).select(
+    return published(f, "items_mart").select(
         "id_registro",
         "id_item_relatorio",
         "demonstrativo_id_registro",
