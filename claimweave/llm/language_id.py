@@ -7,8 +7,10 @@ kernel: one-versus-rest kernel ridge regression is solved in their span, and as
 a sum of scalar products, kernel times weights folds into one matrix per n, so that texts are
 scored by a few matrix products per batch.
 
-The training sample is bounded: ``sample`` documents in all, the same number per language
-chosen by a hash of the id, featurised on the executors. Everything else reads whole texts.
+The training sample is bounded: ``sample`` documents in all, the same number per language (of the ``sample``
+most frequent languages, should there be more). A language's documents fall into that many classes by
+a hash of id and text, and each class gives the document of its least hash, so that neither a task nor
+the driver gets more than the bound, whatever repeats. They are featurised on the executors. Everything else reads whole texts.
 
 Null text and text without a letter get ``und`` and score 0. Documents without a label are
 never learned from. Without a single labelled document every text gets ``und``. Rows are
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,18 +95,28 @@ class Model:
         if not labels:
             self.fold = []
             return
-        bits = np.unpackbits(np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), len(ORDERS), -1), axis=2)
-        scaled = []
-        for k in range(len(ORDERS)):
-            x = bits[:, k, :].astype(np.float32)
-            scaled.append(x / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1)))
+        # grams stay packed; one n and one block of documents at a time are numbers
+        bits = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), len(ORDERS), -1)
         marks = np.arange(len(labels))[:: max(1, -(-len(labels) // landmarks))]
-        kernel = sum(x @ x[marks].T for x in scaled).astype(np.float64) / len(ORDERS)
+        kernel = np.zeros((len(labels), len(marks)))
+        for k in range(len(ORDERS)):
+            at_marks = self._scaled(bits[marks, k])
+            for at in range(0, len(labels), 128):
+                kernel[at : at + 128] += self._scaled(bits[at : at + 128, k]) @ at_marks.T
+            del at_marks
+        kernel /= len(ORDERS)
         target = np.where(np.array(labels)[:, None] == np.array(self.languages)[None, :], 1.0, -1.0)
         weight = 1 / np.array([labels.count(x) for x in labels], float)[:, None]  # languages count alike
         left = kernel.T @ (kernel * weight) + ridge * kernel[marks] + 1e-9 * np.eye(len(marks))
         alpha = np.linalg.solve(left, kernel.T @ (target * weight))
-        self.fold = [(x[marks].T @ alpha / len(ORDERS)).astype(np.float32) for x in scaled]
+        self.fold = [(self._scaled(bits[marks, k]).T @ (alpha / len(ORDERS)).astype(np.float32)) for k in range(len(ORDERS))]
+
+    @staticmethod
+    def _scaled(packed: np.ndarray) -> np.ndarray:
+        """Rows of unit length from packed sets of grams."""
+        x = np.unpackbits(packed, axis=1).astype(np.float32)
+        x /= np.sqrt(np.maximum(x.sum(1, keepdims=True), 1))
+        return x
 
     def scores(self, grams: list[np.ndarray]) -> np.ndarray:
         total = 0.0
@@ -116,15 +128,13 @@ class Model:
 
 def train(docs: DataFrame, text: str, lang: str, doc_id: str, sample: int = SAMPLE) -> Model:
     """Model of the labelled ``docs``; ids are used to choose the sample, nothing else."""
-    labelled = docs.where(quoted(lang).isNotNull() & quoted(text).isNotNull())
-    ids = labelled.select(quoted(doc_id).alias("i"), quoted(lang).alias("l"))
-    n_languages = ids.select("l").distinct().count()
-    each = max(1, sample // max(1, n_languages))
-    order = Window.partitionBy("l").orderBy(F.xxhash64("i"), "i")
-    chosen = ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= each).select(F.col("i").alias("__i"), F.col("l").alias("__l"))
-    # at most ``sample`` rows of two short columns
-    picked = labelled.join(F.broadcast(chosen.distinct()), (quoted(doc_id) == F.col("__i")) & (quoted(lang) == F.col("__l")), "left_semi")
-    pairs = picked.select(quoted(lang).alias("l"), quoted(text).alias("t"))
+    labelled = docs.where(quoted(lang).isNotNull() & quoted(text).isNotNull()).select(quoted(lang).cast("string").alias("l"), quoted(text).alias("t"), F.xxhash64(quoted(doc_id), quoted(text)).alias("h"))
+    languages = [r["l"] for r in labelled.groupBy("l").count().orderBy(F.desc("count"), "l").limit(sample).collect()]
+    each = max(1, sample // max(1, len(languages)))
+    own = labelled.where(F.col("l").isin(languages)) if len(languages) == sample else labelled
+    chosen = own.groupBy("l", F.pmod("h", F.lit(each)).alias("c")).agg(F.min("h").alias("h")).select("l", "h")
+    # at most ``sample`` rows of two short columns; a repeated document stands for one
+    pairs = labelled.join(F.broadcast(chosen), ["l", "h"], "left_semi").groupBy("l", "h").agg(F.min("t").alias("t")).select("l", "t")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,9 +144,8 @@ def train(docs: DataFrame, text: str, lang: str, doc_id: str, sample: int = SAMP
                 packed += [x.tobytes() for x in np.packbits(stack, axis=2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["l", "bits"])
 
-    rows = pairs.mapInArrow(features, "l string, bits binary").toPandas()
-    rows = rows.sort_values(["l", "bits"], ignore_index=True)
-    return Model(list(rows["bits"]), list(rows["l"]))
+    rows = sorted(map(tuple, pairs.mapInArrow(features, "l string, bits binary").collect()))
+    return Model([bits for _, bits in rows], [label for label, _ in rows])
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
