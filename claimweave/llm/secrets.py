@@ -34,7 +34,7 @@ _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x2
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _USER = re.compile(r"(?:user(?:name)?|login|account|client_?id|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9@+/_.-]{3,})", re.IGNORECASE | re.ASCII)
-_KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,128}(?![A-Za-z0-9+/_-])")
+_KEY = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-]{32,}(?![A-Za-z0-9+/_-])")
 _HOST = re.compile(r"[a-z][a-z0-9+.-]{1,15}://[^\s\"'<>]+", re.ASCII)
 _GAP = re.compile(r"\n[ \t\r]*\n")
 #: What a text must hold for its scan to find anything certain; matched by a linear-time engine.

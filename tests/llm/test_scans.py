@@ -160,3 +160,11 @@ def test_language_id(spark, odd):
     none, empty = language_id.identify(odd)
     assert not empty.languages and {r["language"]["lang"] for r in none.collect()} == {"und"}
     assert language_id.keep_identified(odd, model).columns == odd.columns
+
+
+@pytest.mark.parametrize("length", [32, 128, 129, 5000])
+def test_weak_secret_of_any_length(spark, length):
+    value = ("aB3" * length)[:length]
+    frame = spark.createDataFrame([(1, f"user: maria\nkey {value} end")], "doc_id long, text string")
+    spans = secrets.find_secrets(frame).first()["secrets"]["spans"]
+    assert f"key:16:{16 + length}" in spans
