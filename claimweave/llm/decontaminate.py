@@ -12,8 +12,9 @@ for another's by an equal 64-bit hash only makes the walk longer, not its result
 as the walk compares the words themselves.
 
 Items are handled in shards of a bounded number of words, each with an automaton of bounded
-size that is sent to the tasks; documents pass through one map step per shard, so a large
-benchmark costs more steps instead of more memory.
+size that is built in a task. The driver passes one of them on to the tasks at a time, and between two
+shards the documents are written, so a large benchmark costs more passes instead of more memory, in the
+driver as in a task.
 
 Null text has no words; an item without words never occurs. Items with equal ids count as
 one in ``items``. Empty benchmark: no hits. Rows are handled one by one.
@@ -22,6 +23,7 @@ one in ``items``. Empty benchmark: no hits. Rows are handled one by one.
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -32,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimweave.llm import text as tx
-from claimweave.llm.tables import fresh, quoted
+from claimweave.llm.tables import Scratch, fresh, quoted
 
 #: Words of items that one automaton holds, about (whole items).
 SHARD_WORDS = 100_000
@@ -245,7 +247,7 @@ def find_items(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
 
     def mapper(automaton, first: bool):
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = automaton.value
+            own = pickle.loads(automaton.value)
             tables = (_upper_bits(own.vocabulary), _upper_bits(own.pairs))
             for batch in batches:
                 rows = _scan(batch.column(name), own, tables)
@@ -265,12 +267,22 @@ def find_items(docs: DataFrame, items: DataFrame, text: str = "text", item_id: s
 
         return task
 
+    def build(shard: pa.Table) -> pa.Table:
+        rows = list(zip(shard["item_id"].to_pylist(), shard["text"].to_pylist(), strict=True))
+        return pa.table({"shard": pa.array([shard["shard"][0].as_py()], pa.int64()), "automaton": pa.array([pickle.dumps(Automaton(rows, window))], pa.binary())})
+
+    scratch = Scratch(spark, "decontaminate")
+    shards = named.select(F.pmod(F.xxhash64("text"), F.lit(n_shards)).alias("shard"), "item_id", "text")
+    built = scratch.cut(shards.groupBy("shard").applyInArrow(build, "shard long, automaton binary"))
+    present = sorted(r["shard"] for r in built.select("shard").collect())
     frame = docs
-    for k in range(n_shards):
-        shard = named if n_shards == 1 else named.where(F.pmod(F.xxhash64("text"), F.lit(n_shards)) == k)
-        rows = [(r["item_id"], r["text"]) for r in shard.toLocalIterator()]
-        automaton = spark.sparkContext.broadcast(Automaton(rows, window))
-        frame = frame.mapInArrow(mapper(automaton, k == 0), schema)
+    for k in present or [None]:
+        own = built.where(F.col("shard") == k).first()["automaton"] if present else pickle.dumps(Automaton([], window))
+        automaton = spark.sparkContext.broadcast(own)  # one shard
+        frame = frame.mapInArrow(mapper(automaton, k is None or k == present[0]), schema)
+        if len(present) > 1:
+            frame = scratch.cut(frame)
+            automaton.unpersist()
     return frame
 
 
