@@ -123,20 +123,48 @@ class Mix:
         rows = docs.withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / self.block).cast("long"), F.floor((end - 1) / self.block).cast("long"))))
         return rows.withColumns({"low": F.greatest(F.col("start") - F.col("block") * self.block, F.lit(0).cast("long")), "high": F.least(end - F.col("block") * self.block, F.lit(self.block).cast("long"))})
 
-    def taken(self) -> DataFrame:
-        """Documents with ``taken``, the words the mix takes from them, repeats counted."""
+    def taken(self, spans: bool = False) -> DataFrame:
+        """Documents with ``taken``, the words the mix takes from them, repeats counted.
+
+        With ``spans`` also the word ranges (from, to exclusive) that it takes at least once, in order and disjoint.
+        """
         draws = self.slots().groupBy("sid", "block", "length").agg(F.count("*").alias("times"))
         # the planner takes exploded rows for as few as their parents; either side grows with the data
         joined = self.pieces().drop(*self.kept).hint("merge").join(draws, ["sid", "block"], "left")
         words = F.greatest(F.least(F.col("high"), F.col("length")) - F.col("low"), F.lit(0).cast("long")) * F.col("times")
         names = ["doc_id", "source", "size", *self.kept, "source_size", "target"]
         small = [c for c in names if c not in self.kept]
-        some = joined.groupBy("sid", "start", *small).agg(F.coalesce(F.sum(words), F.lit(0).cast("long")).alias("taken"))
+        sums = [F.coalesce(F.sum(words), F.lit(0).cast("long")).alias("taken")]
+        more = ["taken"]
+        if spans:
+            begin = F.col("block") * self.block + F.col("low") - F.col("start")
+            part = F.struct(begin.alias("from"), (begin + F.least(F.col("high"), F.col("length")) - F.col("low")).alias("to"))
+            sums.append(F.collect_list(F.when(words > 0, part)).alias("spans"))  # two a block at most: a text's own length bounds them
+            more.append("spans")
+        some = joined.groupBy("sid", "start", *small).agg(*sums)
+        if spans:
+            some = some.withColumn("spans", _longest("spans"))
         if self.kept:  # a document with words has its own place in its source's stream
-            some = some.select("sid", "start", "taken").join(self.documents.where("size > 0"), ["sid", "start"])
-        some = some.select(*names, "taken")
-        none = self.documents.where("size = 0").select(*names, F.lit(0).cast("long").alias("taken"))
-        return some.unionByName(none)
+            some = some.select("sid", "start", *more).join(self.documents.where("size > 0"), ["sid", "start"])
+        some = some.select(*names, *more)
+        nothing = [F.lit(0).cast("long").alias("taken")]
+        if spans:
+            nothing.append(F.array().cast(some.schema["spans"].dataType).alias("spans"))
+        return some.unionByName(self.documents.where("size = 0").select(*names, *nothing))
+
+
+def _longest(spans: str) -> Column:
+    """Ranges in order; of those with one beginning the longest. A block's draws differ in length only."""
+    ordered = F.array_sort(spans)
+    return F.get(F.transform(F.array(ordered), lambda s: F.filter(s, lambda x, k: ~F.coalesce(F.get(s, k + 1)["from"] == x["from"], F.lit(False)))), F.lit(0))
+
+
+def spanned_text(text: Column, spans: Column, size: Column) -> Column:
+    """The words of ``text`` within ``spans``; the text itself where these are all its words."""
+    covered = F.aggregate(spans, F.lit(0).cast("long"), lambda a, x: a + x["to"] - x["from"])
+    words = F.regexp_extract_all(text, F.lit(_WORD), 0)
+    parts = F.get(F.transform(F.array(words), lambda w: F.transform(spans, lambda x: F.array_join(F.slice(w, (x["from"] + 1).cast("int"), (x["to"] - x["from"]).cast("int")), " "))), F.lit(0))
+    return F.when(covered == size, text).otherwise(F.array_join(parts, " "))
 
 
 def mixed_blocks(docs: DataFrame, text: str = "text", **settings) -> DataFrame:

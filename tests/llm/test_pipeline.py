@@ -6,6 +6,7 @@ import pytest
 
 import corpus_pipeline as cp
 from claimweave.llm import decontaminate as dc
+from claimweave.llm import mixing
 from tests.llm.test_mixing import check
 from tests.llm.test_ngram_join import brute
 from tests.llm.test_scans import brute_hits, low
@@ -72,8 +73,27 @@ def test_personal_data(stages):
 
 
 def test_mix(stages):
-    check(stages[5].collect(), stages[4].collect())
-    assert dc.item_words(None) == []
+    """The mix takes effect: documents that give nothing go, and the text holds the words that are taken."""
+    docs = stages[4].collect()
+    rows = mixing.Mix(stages[4]).taken().collect()
+    check(rows, docs)
+    taken = {r["doc_id"]: r["taken"] for r in rows}
+    out = {r["doc_id"]: r for r in stages[5].collect()}
+    assert set(out) == {k for k, n in taken.items() if n} and 0 < len(out) < len(docs)
+    whole = 0
+    for d in docs:
+        if d["doc_id"] in out:
+            r, words = out[d["doc_id"]], d["text"].split()
+            spans = [(s["from"], s["to"]) for s in r["spans"]]
+            assert r["taken"] == taken[d["doc_id"]] and spans == sorted(spans) and all(a < b for a, b in spans)
+            assert all(b <= c for (_, b), (c, _) in zip(spans, spans[1:]))
+            kept = [w for a, b in spans for w in words[a:b]]
+            assert r["text"].split() == kept and len(kept) <= r["taken"] <= 2 * len(kept)
+            assert r["n_chars"] == len(r["text"])
+            if len(kept) == len(words):
+                assert r["text"] == d["text"]
+                whole += 1
+    assert whole and dc.item_words(None) == []
 
 
 def test_run_and_odd_rows(spark):
@@ -84,4 +104,4 @@ def test_run_and_odd_rows(spark):
         for _, stage in cp.STAGES[:-1]:
             frame = stage(spark, frame, SF)
             assert frame.columns == docs.columns
-        assert cp.STAGES[-1][1](spark, frame, SF).count() == frame.count()
+        assert cp.STAGES[-1][1](spark, frame, SF).count() == sum(r["taken"] > 0 for r in mixing.Mix(frame).taken().collect())
