@@ -1,7 +1,7 @@
 """A training corpus from ``documents``: stages of claimweave.llm, each written and read again.
 
-Each stage takes (spark, docs, sf_dir) and returns documents; the last returns what each document
-gives to the mix, with the text that goes into it.
+Each stage takes (spark, docs, sf_dir) and returns documents; the last returns the documents that the
+mix takes words from, with the words it takes as their text.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from claimweave.llm.decontaminate import decontaminate
 from claimweave.llm.language_id import held_out, keep_identified, train
-from claimweave.llm.mixing import Mix
+from claimweave.llm.mixing import Mix, spanned_text
 from claimweave.llm.ngram_join import keep_first
 from claimweave.llm.pii import pseudonymise
 from claimweave.llm.tables import Scratch, table
@@ -44,10 +44,16 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What each document gives to the mix."""
+    """Documents in the mix. ``text`` holds the words that are taken, each once; ``n_chars`` follows it.
+
+    Documents that give nothing go. ``taken`` counts words with their repeats; ``spans`` are the ranges of
+    words taken, counted in the document as it came (``size`` words).
+    """
     kept = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
-    mix = Mix(docs, keep=kept)
-    return mix.taken().select("doc_id", *(F.col(f"kept_{c}").alias(c) for c in kept), "source", "size", "source_size", "target", "taken")
+    mixed = Mix(docs, keep=kept).taken(spans=True).where("taken > 0")
+    text = spanned_text(F.col("kept_text"), F.col("spans"), F.col("size"))
+    columns = [text.alias(c) if c == "text" else F.col(f"kept_{c}").alias(c) for c in kept]
+    return _measured(docs, mixed.select("doc_id", *columns, "source", "size", "source_size", "target", "taken", "spans"))
 
 
 def _measured(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -55,7 +61,7 @@ def _measured(before: DataFrame, after: DataFrame) -> DataFrame:
     if "n_chars" not in before.columns:
         return after
     kind = before.schema["n_chars"].dataType
-    return after.select(*(F.coalesce(F.length("text"), F.lit(0)).cast(kind).alias(c) if c == "n_chars" else F.col(c) for c in before.columns))
+    return after.select(*(F.coalesce(F.length("text"), F.lit(0)).cast(kind).alias(c) if c == "n_chars" else F.col(c) for c in after.columns))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
