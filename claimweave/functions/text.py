@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import functools
 import json
-import sys
 import unicodedata
 
 from pyspark.sql import Column
@@ -15,11 +15,18 @@ WHITESPACE = r"[\p{IsWhite_Space}\x1c-\x1f]+"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
 
-def _accent_tables() -> tuple[str, str, dict[str, str]]:
-    """Every character whose compatibility form differs: to one base character, or to none or several."""
+#: Planes that hold characters with a decomposition; beyond them there are ideographs and private use only.
+_DECOMPOSED = (range(0x80, 0x20000), range(0x2F800, 0x2FA20))
+
+
+@functools.cache
+def _accent_tables() -> tuple[str, str, str, str]:
+    """Every character whose compatibility form differs: to one base character, or to several (class and JSON map)."""
     source, target, several = [], [], {}
-    for code in range(0x80, sys.maxunicode + 1):
+    for code in (c for block in _DECOMPOSED for c in block):
         char = chr(code)
+        if not unicodedata.decomposition(char):
+            continue
         base = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
         # Hangul syllables fall apart into letters, by rule; combining marks go by a pattern
         if base == char or not base or 0xAC00 <= code < 0xD7A4:
@@ -29,16 +36,23 @@ def _accent_tables() -> tuple[str, str, dict[str, str]]:
             target.append(base)
         else:
             several[char] = base
-    return "".join(source), "".join(target), several
+    return "".join(source), "".join(target), f"[{_ranges(sorted(map(ord, several)))}\\x{{ac00}}-\\x{{d7a3}}]", json.dumps(several)
 
 
-_ACCENTED, _BASE, _SEVERAL = _accent_tables()
-_SEVERAL_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in _SEVERAL) + "\\x{ac00}-\\x{d7a3}]"
+def _ranges(codes: list[int]) -> str:
+    """Code points as ranges of a character class."""
+    runs: list[list[int]] = []
+    for code in codes:
+        if runs and code == runs[-1][1] + 1:
+            runs[-1][1] = code
+        else:
+            runs.append([code, code])
+    return "".join(f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in runs)
 
 
 def _spelled_out(c: Column) -> Column:
     """Ligatures, fractions and the like as their several characters; Hangul syllables as letters."""
-    table = F.from_json(F.lit(json.dumps(_SEVERAL)), "map<string,string>")
+    table = F.from_json(F.lit(_accent_tables()[3]), "map<string,string>")
 
     def hangul(x: Column) -> Column:
         at = F.ascii(x) - 0xAC00
@@ -85,10 +99,15 @@ def strip_zeros(c: Column | str) -> Column:
 
 
 def fold(c: Column | str) -> Column:
-    """Lower case without accents (compatibility decomposition, marks dropped)."""
-    single = F.translate(_col(c), _ACCENTED, _BASE)
+    """Lower case without accents (compatibility decomposition, marks dropped).
+
+    The expression carries its tables. Fold a whole text once and carry the copy along
+    (``sources.pages.folded_cells``, ``folded_parts``); don't fold inside a lambda.
+    """
+    accented, base, several, _ = _accent_tables()
+    single = F.translate(_col(c), accented, base)
     # Plain text, the usual case, needs no table lookup; few texts have characters of several letters.
-    plain = F.regexp_replace(F.when(single.rlike(_SEVERAL_CLASS), _spelled_out(single)).otherwise(single), r"\p{Mn}", "")
+    plain = F.regexp_replace(F.when(single.rlike(several), _spelled_out(single)).otherwise(single), r"\p{Mn}", "")
     return F.lower(F.when(_col(c).rlike(r"[^\x00-\x7f]"), plain).otherwise(_col(c)))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimweave import fixed_values as fv
 from claimweave.functions import dates as D
 from claimweave.functions import text as T
+from claimweave.sources.pages import fence, folded_parts
 
 _STATUS = rf"(?i)\b({fv.PROCESS_STATUSES})\b"
 _DATE = r"\b(\d{2}/\d{2}/\d{4})\b"
@@ -26,9 +27,8 @@ def _status_after_number(header: Column) -> Column:
     return F.when(header.rlike("(?i)" + fv.PROCESS_NUMBER) & (F.length(status) <= 80), F.upper(status))
 
 
-def _labelled(text: Column) -> Column:
+def _labelled(text: Column, folded: Column) -> Column:
     """Value after the earliest label, up to the next known label."""
-    folded = T.fold(text)
 
     def place(labels: tuple[str, ...], within: Column) -> Column:
         hits = [
@@ -47,14 +47,15 @@ def _labelled(text: Column) -> Column:
     return F.when(start.isNull(), text).otherwise(T.blank_to_null(T.squash(value)))
 
 
-def _type_from_lines(lines: Column, status: Column) -> Column:
-    """The one or two lines after the status, before a date or the closing note."""
-    at = F.array_position(F.transform(lines, lambda x: T.fold(x) == T.fold(status)), True).cast("int")
-    tail = F.slice(lines, at + 1, F.greatest(F.size(lines), F.lit(1)))
-    ends = F.transform(tail, lambda x: x.rlike(_DATE) | T.fold(x).contains("finalizado pelo"))
+def _type_from_lines(lines: Column, folded: Column, status: Column) -> Column:
+    """The one or two lines after the (folded) status, before a date or the closing note."""
+    at = F.array_position(folded, status).cast("int")
+    rest = F.greatest(F.size(lines), F.lit(1))
+    tail = F.arrays_zip(F.slice(lines, at + 1, rest).alias("x"), F.slice(folded, at + 1, rest).alias("d"))
+    ends = F.transform(tail, lambda t: t["x"].rlike(_DATE) | t["d"].contains("finalizado pelo"))
     stop = F.array_position(ends, True).cast("int")
     head = F.when(stop > 0, F.slice(tail, F.lit(1), stop - 1)).otherwise(tail)
-    kept = F.filter(head, lambda x: ~T.fold(x).isin(*fv.TYPE_SKIPPED_LINES))
+    kept = F.transform(F.filter(head, lambda t: ~t["d"].isin(*fv.TYPE_SKIPPED_LINES)), lambda t: t["x"])
     return F.when(at > 0, T.blank_to_null(T.squash(F.array_join(F.slice(kept, 1, 2), " "))))
 
 
@@ -78,13 +79,16 @@ def parse_process_cards(cards: DataFrame) -> tuple[DataFrame, DataFrame]:
         _status_after_number(F.col("_cabecalho")),
         F.lit(fv.STATUS_UNKNOWN),
     )
-    named = base.withColumn("status_processo", status)
+    named = fence(base, status_processo=status)
+    # One folding for the type, the status and all lines; squashed texts hold no line feed.
+    named = fence(named, _dobrado=folded_parts(F.concat(F.array("_tipo", "status_processo"), "_linhas"), "\n"))
+    folded_lines = F.slice("_dobrado", F.lit(3), F.greatest(F.size("_linhas"), F.lit(0)))
     day = F.coalesce(T.first_match(T.squash(F.coalesce("data", F.lit(""))), _DATE), T.first_match("_texto", _DATE))
     rows = named.filter(F.col("numero_processo").isNotNull()).select(
         "numero_processo",
         "status_processo",
-        F.when(F.col("_tipo") != "", _labelled(F.col("_tipo")))
-        .otherwise(_type_from_lines(F.col("_linhas"), F.col("status_processo")))
+        F.when(F.col("_tipo") != "", _labelled(F.col("_tipo"), F.get("_dobrado", F.lit(0))))
+        .otherwise(_type_from_lines(F.col("_linhas"), folded_lines, F.get("_dobrado", F.lit(1))))
         .alias("tipo_processo_assunto"),
         D.parse_statement_date(day).alias("data_abertura"),
         clean_reason(F.coalesce("motivo", F.lit(""))).alias("motivo_finalizacao"),

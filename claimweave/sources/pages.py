@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimweave.functions import text as T
@@ -32,8 +35,25 @@ def clean_rows(table: Column) -> Column:
     return F.filter(rows, lambda row: F.exists(row, lambda c: c != ""))
 
 
-def fold_rows(rows: Column) -> Column:
-    return F.transform(rows, lambda row: F.transform(row, lambda c: T.squash(T.fold(c))))
+#: Separators of joined parts; cleaned cells don't hold them, and folding makes none.
+_PART, _ROW, _TABLE = "\x1f", "\x1e", "\x1d"
+
+
+def folded_cells(tables: Column) -> Column:
+    """Folded copies of tables of cleaned cells, by one folding of all cells joined."""
+    joined = F.array_join(F.transform(tables, lambda t: F.array_join(F.transform(t, lambda r: F.array_join(r, _PART)), _ROW)), _TABLE)
+    opened = F.transform(F.split(T.fold(joined), _TABLE), lambda t: F.transform(F.split(t, _ROW), lambda r: F.split(r, _PART)))
+    return F.when(F.size(tables) > 0, F.zip_with(tables, opened, lambda t, o: F.when(F.size(t) > 0, o).otherwise(t))).otherwise(tables)
+
+
+def folded_parts(parts: Column, separator: str = _PART) -> Column:
+    """Folded copies of the texts of an array, by one folding; a separator inside a text counts as a space."""
+    plain = F.transform(parts, lambda x: F.translate(F.coalesce(x, F.lit("")), separator, " "))
+    return F.split(T.fold(F.array_join(plain, separator)), separator)
+
+
+def squash_cells(rows: Column) -> Column:
+    return F.transform(rows, lambda row: F.transform(row, T.squash))
 
 
 def first_of(array: Column) -> Column:
@@ -52,3 +72,19 @@ def document_texts(pages: DataFrame) -> DataFrame:
     return listed.select(
         *DOCUMENT, F.array_join(F.transform("p", lambda x: F.coalesce(x["text"], F.lit(""))), "\n").alias("text")
     )
+
+
+def preferred(layouts: list[DataFrame], documents: DataFrame | None, key: list[str]) -> DataFrame:
+    """Records of each document's first layout that gave any, with ``rejeitado``: one of them is broken, or there is none.
+
+    ``layouts`` are record frames with a flag ``erro``, in the order in which they count. Where ``documents`` lists all
+    documents, those without a record come back as one row with the columns of ``documents`` alone.
+    """
+    every = layouts if documents is None else [*layouts, documents]
+    ranked = [x.withColumn("_ordem", F.lit(i)) for i, x in enumerate(every)]
+    records = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), ranked)
+    own = W.partitionBy(*key)
+    flagged = records.withColumn("_primeira", F.min("_ordem").over(own))
+    kept = flagged.filter("_ordem = _primeira")
+    broken = F.max(F.coalesce("erro", F.lit(False)) | (F.col("_ordem") == len(layouts))).over(own)
+    return kept.withColumn("rejeitado", broken).drop("_ordem", "_primeira", "erro")

@@ -15,7 +15,7 @@ from claimweave.functions import numbers as N
 from claimweave.functions import text as T
 from claimweave.functions.identity import fingerprint
 from claimweave.schemas import REPORT_ROWS
-from claimweave.sources.pages import DOCUMENT, clean_rows, fence, first_of, fold_rows, upto
+from claimweave.sources.pages import DOCUMENT, clean_rows, fence, folded_cells, folded_parts, preferred, squash_cells, upto
 
 FIELDS = tuple(fv.REPORT_LABELS)
 
@@ -51,36 +51,39 @@ def _header(folded_rows: Column) -> Column:
     return F.get(F.filter(attempts, lambda h: h["p"].isNotNull()), F.lit(0))
 
 
-def _table_values(table: Column) -> Column:
-    """One ``struct`` of field texts per data row of a table."""
-    return N.let(clean_rows(table), _values_of_rows)
+def _table_values(rows: Column, folded: Column) -> Column:
+    """One ``struct`` of field texts per data row of a table, from its cleaned cells and their folded copies."""
+    table = F.struct(rows.alias("r"), squash_cells(folded).alias("f"))
+    headed = N.let(table, lambda t: F.struct(t["r"].alias("r"), t["f"].alias("f"), _header(t["f"]).alias("h")))
+    return N.let(headed, lambda t: _rows_below(t["r"], t["f"], t["h"]))
 
 
-def _values_of_rows(rows: Column) -> Column:
-    header = N.let(fold_rows(rows), _header)
-    return N.let(F.struct(rows.alias("r"), header.alias("h")), lambda t: _rows_below(t["r"], t["h"]))
-
-
-def _rows_below(rows: Column, header: Column) -> Column:
-    def values(row: Column) -> Column:
+def _rows_below(rows: Column, folded: Column, header: Column) -> Column:
+    def values(row: Column, folded_row: Column) -> Column:
         cells = [F.coalesce(F.get(row, header["p"][i]), F.lit("")).alias(f) for i, f in enumerate(FIELDS)]
-        own_header = N.let(F.transform(row, lambda c: T.squash(T.fold(c))), _header_places)
-        return F.when(own_header.isNull(), F.struct(*cells))
+        return F.when(_header_places(folded_row).isNull(), F.struct(*cells))
 
-    data = F.transform(upto(rows, header["inicio"] + 1), values)
+    start = header["inicio"] + 1
+    data = F.zip_with(upto(rows, start), upto(folded, start), values)
     return F.when(header.isNotNull(), F.filter(data, lambda v: v.isNotNull()))
 
 
-def _text_values(text: Column) -> Column:
+def _text_lines(text: Column) -> Column:
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), T.LINE_BREAK), lambda x: F.trim(x)), lambda x: x != "")
+
+
+def _text_values(lines: Column, folded: Column) -> Column:
     """Field texts from ``label: value`` lines; the first matching line of a field counts."""
-    lines = F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), T.LINE_BREAK), lambda x: F.trim(x)), lambda x: x != "")
 
     def field(labels: tuple[str, ...]) -> Column:
         pattern = r"\A(?:" + "|".join(labels) + r")\s*[:\-]?\s*(.+)\z"
-        line = F.get(F.filter(lines, lambda x: T.fold(x).rlike(pattern)), F.lit(0))
-        size = F.length(F.regexp_extract(T.fold(line), pattern, 1))
-        value = F.substring(line, F.length(line) - size + 1, size)
-        return F.coalesce(F.btrim(value, F.lit(fv.EDGE_PUNCTUATION)), F.lit(""))
+        at = F.array_position(F.transform(folded, lambda x: x.rlike(pattern)), True).cast("int") - 1
+
+        def value(line: Column) -> Column:
+            size = F.length(F.regexp_extract(F.get(folded, at), pattern, 1))
+            return F.substring(line, F.length(line) - size + 1, size)
+
+        return F.coalesce(F.btrim(value(F.get(lines, at)), F.lit(fv.EDGE_PUNCTUATION)), F.lit(""))
 
     return F.struct(*[field(labels).alias(f) for f, labels in fv.REPORT_LABELS.items()])
 
@@ -126,14 +129,18 @@ def _open(pages: DataFrame, records: Column) -> DataFrame:
 def parse_report_tables(pages: DataFrame) -> DataFrame:
     """Records of the report tables; a page without any takes its labelled text."""
     named = pages.withColumn("_remessa", remittance_of_file("documento_nome"))
-    staged = fence(named, _valores=F.flatten(F.transform("tables", lambda t: F.coalesce(_table_values(t), F.array().cast(_VALUES)))))
+    cleaned = fence(named, _tabelas=F.transform("tables", clean_rows))
+    folded = fence(cleaned, _dobradas=folded_cells(F.col("_tabelas")))
+    staged = fence(folded, _valores=F.flatten(F.zip_with("_tabelas", "_dobradas", lambda t, f: F.coalesce(_table_values(t, f), F.array().cast(_VALUES)))))
     typed = fence(staged, _todas=F.transform("_valores", lambda v: _record(v, F.col("_remessa"))))
     kept = typed.withColumn("_linhas", F.filter("_todas", lambda r: r["completo"] | r["erro"]))
+    lines = fence(kept, _frases=F.when(~F.coalesce(F.exists("_linhas", lambda r: r["completo"]), F.lit(False)), _text_lines(F.col("text"))))
+    lines = fence(lines, _frases_dobradas=folded_parts(F.col("_frases"), "\n"))
     fallback = fence(
-        kept,
-        _texto=F.when(~F.exists("_linhas", lambda r: r["completo"]), F.transform(F.array(_text_values(F.col("text"))), lambda v: _record(v, F.col("_remessa")))),
+        lines,
+        _texto=F.when(F.col("_frases").isNotNull(), F.transform(F.array(_text_values(F.col("_frases"), F.col("_frases_dobradas"))), lambda v: _record(v, F.col("_remessa")))),
     )
-    records = F.when(F.col("_texto").isNull(), F.col("_linhas")).otherwise(F.concat("_linhas", "_texto"))
+    records = F.when(F.col("_texto").isNull(), F.col("_linhas")).otherwise(F.concat(F.coalesce("_linhas", F.array().cast(fallback.schema["_texto"].dataType)), "_texto"))
     return _open(fallback, records).filter("completo or erro")
 
 
@@ -144,12 +151,13 @@ def _table_words() -> tuple[Column, Column]:
     """(top of the header, words between header and total) of one page."""
     low, high = fv.REPORT_HEADER_X
     words = F.col("words")
+    folded = F.col("_dobradas")
     head = F.filter(
-        words, lambda w: (w["x0"] >= low) & (w["x0"] < high) & T.fold(w["text"]).startswith(fv.REPORT_HEADER_WORD)
+        words, lambda w, i: (w["x0"] >= low) & (w["x0"] < high) & F.get(folded, i).startswith(fv.REPORT_HEADER_WORD)
     )
     top_of_header = F.array_min(F.transform(head, lambda w: w["top"]))
     header_top = F.col("_topo")
-    totals = F.filter(words, lambda w: (w["top"] > header_top) & T.fold(w["text"]).startswith(fv.REPORT_TOTAL_WORD))
+    totals = F.filter(words, lambda w, i: (w["top"] > header_top) & F.get(folded, i).startswith(fv.REPORT_TOTAL_WORD))
     total_top = F.coalesce(F.array_min(F.transform(totals, lambda w: w["top"])), F.col("height"))
     end = N.let(total_top, lambda t: F.filter(words, lambda w: (w["top"] > header_top + fv.REPORT_HEADER_GAP) & (w["top"] < t)))
     return top_of_header, end
@@ -195,7 +203,8 @@ def parse_report_words(pages: DataFrame) -> DataFrame:
         {"_remessa": remittance_of_file("documento_nome"), "_mes": D.parse_report_month_label(F.coalesce("text", F.lit("")))}
     )
     top, data = _table_words()
-    placed = fence(fence(named, _topo=top), _dados=data)
+    folded = fence(named, _dobradas=folded_parts(F.transform("words", lambda w: w["text"])))
+    placed = fence(fence(folded, _topo=top), _dados=data)
     staged = fence(placed, _todos=_word_values(F.col("_mes")))
     kept = staged.withColumn(
         "_valores",
@@ -212,16 +221,13 @@ def parse_report_words(pages: DataFrame) -> DataFrame:
 def parse_reports(words: DataFrame, tables: DataFrame, run_ts: Column) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects): the word layout first, tables and text for documents it gave nothing for.
 
-    A document with a broken value, or without any row, is rejected as a whole.
+    A document with a broken value, or without any row, is rejected as a whole. Each parser runs once over
+    its pages; the records of a document meet in one window, which holds no more than its pages gave.
     """
-    by_words = parse_report_words(words)
-    rest = tables.join(by_words.select(*DOCUMENT[:2]).distinct(), list(DOCUMENT[:2]), "left_anti")
-    records = by_words.unionByName(parse_report_tables(rest))
-    state = records.groupBy(*DOCUMENT[:2]).agg(F.bool_or("erro").alias("erro"))
-    clean = state.filter("not erro")
-    documents = words.select(*DOCUMENT).unionByName(tables.select(*DOCUMENT)).distinct()
-    rejects = documents.join(clean, list(DOCUMENT[:2]), "left_anti")
+    key = list(DOCUMENT[:2])
+    listed = words.select(*DOCUMENT).unionByName(tables.select(*DOCUMENT)).distinct()
+    ranked = preferred([parse_report_words(words), parse_report_tables(tables)], listed, key)
     names = [c for c in REPORT_ROWS.fieldNames() if c not in ("id_registro", "status_processo", "extraido_em")]
-    good = records.join(clean.select(*DOCUMENT[:2]), list(DOCUMENT[:2]), "left_semi").select(*names)
+    good = ranked.filter("not rejeitado").select(*names)
     rows = good.withColumn("id_registro", F.sha2(fingerprint(names), 256)).withColumn("extraido_em", run_ts)
-    return rows, rejects
+    return rows, ranked.filter("rejeitado").select(*DOCUMENT).distinct()

@@ -13,7 +13,7 @@ from claimweave.functions import text as T
 from claimweave.functions.identity import fingerprint, occurrence_id
 from claimweave.operators.ordered import carry_forward
 from claimweave.schemas import SETTLEMENTS
-from claimweave.sources.pages import DOCUMENT, clean_rows, fence, first_of, fold_rows, upto
+from claimweave.sources.pages import DOCUMENT, clean_rows, fence, first_of, folded_cells, preferred, squash_cells, upto
 
 _MONEY = (
     "valor_informado",
@@ -27,13 +27,13 @@ _TEXT = ("nome_prestador", "competencia_tms", "competencia_producao", "nr", "nr_
 _PAGE_BLOCK = 64
 
 
-def _value_after(rows: Column, label: str) -> Column:
+def _value_after(rows: Column, folded: Column, label: str) -> Column:
     """Text right of a label; a label on the n-th line of its cell takes the n-th line there."""
 
-    def in_row(row: Column) -> Column:
+    def in_row(row: Column, folded_row: Column) -> Column:
         def at_cell(cell: Column, i: Column) -> Column:
             lines = F.split(cell, "\n")
-            line = F.array_position(F.transform(lines, lambda x: T.fold(x)), label).cast("int")
+            line = F.array_position(lines, label).cast("int")
 
             def take(candidate: Column) -> Column:
                 values = F.split(candidate, "\n")
@@ -44,21 +44,21 @@ def _value_after(rows: Column, label: str) -> Column:
 
             return F.when(line > 0, first_of(F.transform(upto(row, i + 2), take)))
 
-        return first_of(F.transform(row, at_cell))
+        return first_of(F.transform(folded_row, at_cell))
 
-    return first_of(F.transform(rows, in_row))
+    return first_of(F.zip_with(rows, folded, in_row))
 
 
-def _summary(rows: Column) -> Column:
+def _summary(rows: Column, folded: Column) -> Column:
     fields = [
-        F.coalesce(*[_value_after(rows, label) for label in labels]).alias(name)
+        F.coalesce(*[_value_after(rows, folded, label) for label in labels]).alias(name)
         for name, labels in fv.SETTLEMENT_LABELS.items()
     ]
     return F.struct(*fields)
 
 
-def _is_summary(rows: Column) -> Column:
-    text = T.fold(F.array_join(F.flatten(rows), " "))
+def _is_summary(folded: Column) -> Column:
+    text = F.array_join(F.flatten(folded), " ")
     found = F.lit(True)
     for marker in fv.SETTLEMENT_MARKERS:
         found = found & text.contains(marker)
@@ -101,12 +101,12 @@ def _header(folded: Column) -> Column:
     return F.get(F.filter(F.transform(attempts, attempt), lambda h: h["origem"].isNotNull()), F.lit(0))
 
 
-def _protocol_cells(rows: Column, start: Column) -> Column:
+def _protocol_cells(rows: Column, folded: Column, start: Column) -> Column:
     """Leading number, second cell and the last three cells of every protocol row."""
 
-    def values(row: Column) -> Column:
+    def values(row: Column, folded_row: Column) -> Column:
         filled = F.filter(row, lambda c: c != "")
-        own_header = N.let(F.transform(row, lambda c: T.squash(T.fold(c))), _header_kind).isNotNull()
+        own_header = _header_kind(folded_row).isNotNull()
         good = (F.size(filled) >= 4) & F.get(filled, F.lit(0)).rlike("[0-9]") & ~own_header
         return F.when(
             good,
@@ -119,7 +119,7 @@ def _protocol_cells(rows: Column, start: Column) -> Column:
             ),
         )
 
-    return F.filter(F.transform(upto(rows, start + 1), values), lambda v: v.isNotNull())
+    return F.filter(F.zip_with(upto(rows, start + 1), upto(folded, start + 1), values), lambda v: v.isNotNull())
 
 
 def parse_settlement_tables(pages: DataFrame) -> DataFrame:
@@ -130,23 +130,24 @@ def parse_settlement_tables(pages: DataFrame) -> DataFrame:
     """
     tables = pages.select(*DOCUMENT, "page", F.posexplode("tables").alias("tabela", "_t"))
     cleaned = fence(tables, _linhas=clean_rows(F.col("_t"))).drop("_t").filter(F.size("_linhas") > 0)
-    kind = fence(cleaned, _resumo=_is_summary(F.col("_linhas")))
+    folded = fence(cleaned, _dobradas=F.get(folded_cells(F.array("_linhas")), F.lit(0)))
+    kind = fence(folded, _resumo=_is_summary(F.col("_dobradas")))
 
     summaries = (
         kind.filter("_resumo")
-        .withColumn("resumo", _summary(F.col("_linhas")))
+        .withColumn("resumo", _summary(F.col("_linhas"), F.col("_dobradas")))
         .groupBy(*DOCUMENT)
         .agg(F.max_by("resumo", F.struct("page", "tabela")).alias("resumo"))
     )
-    headed = fence(kind.filter("not _resumo"), _dobradas=fold_rows(F.col("_linhas")))
-    headed = fence(headed, _cabecalho=_header(F.col("_dobradas")))
+    headed = fence(kind.filter("not _resumo"), _lisas=squash_cells(F.col("_dobradas")))
+    headed = fence(headed, _cabecalho=_header(F.col("_lisas")))
     short = headed.select(
         *DOCUMENT,
         "page",
         "tabela",
         F.expr(f"page div {_PAGE_BLOCK}").alias("_bloco"),
         F.col("_cabecalho.origem").alias("_origem"),
-        _protocol_cells(F.col("_linhas"), F.coalesce("_cabecalho.inicio", F.lit(0))).alias("_celulas"),
+        _protocol_cells(F.col("_linhas"), F.col("_lisas"), F.coalesce("_cabecalho.inicio", F.lit(0))).alias("_celulas"),
     )
     order = ["page", "tabela"]
     carried = carry_forward(short, list(DOCUMENT), order, "_bloco", "_origem", "_com_origem")
@@ -171,13 +172,18 @@ def _typed(joined: DataFrame) -> DataFrame:
     bad = F.col("_sem_processo")
     for name in required:
         bad = bad | F.col(name).isNull()
+    read = joined
     for name in _MONEY:
-        bad = bad | N.bad_document_number(F.col(name))
-    bad = bad | (T.edge_trim("data_fechamento").isNotNull() & D.parse_document_date("data_fechamento").isNull())
+        # One step each, as the generated code of all of them together would be too large to compile.
+        read = fence(read, **{f"_{name}": N.parse_document_number(name)})
+        read = fence(read, **{f"_{name}_ruim": N.bad_document_number(F.col(name))})
+        bad = bad | F.col(f"_{name}_ruim")
+    joined = fence(read, _fechamento=D.parse_document_date("data_fechamento"))
+    bad = bad | (T.edge_trim("data_fechamento").isNotNull() & F.col("_fechamento").isNull())
     columns = {
         "cnpj": T.blank_to_null(T.digits("cnpj")),
-        "data_fechamento": D.parse_document_date("data_fechamento"),
-        **{name: N.parse_document_number(name) for name in _MONEY},
+        "data_fechamento": F.col("_fechamento"),
+        **{name: F.col(f"_{name}") for name in _MONEY},
         **{name: T.edge_trim(name) for name in _TEXT},
         "pagina_pdf": F.col("page").cast("bigint"),
         "erro": F.coalesce(bad, F.lit(False)),
@@ -189,16 +195,22 @@ def _typed(joined: DataFrame) -> DataFrame:
 def parse_legacy_settlement(pages: DataFrame) -> DataFrame:
     """Summary rows of older documents from the page text; all three blocks must be present."""
     text = F.col("text")
-    provider = [T.first_match(text, fv.LEGACY_PROVIDER, i) for i in range(1, 5)]
-    totals = [T.first_match(text, fv.LEGACY_TOTALS, i) for i in range(1, 4)]
-    closed = T.first_match(text, fv.LEGACY_CLOSED, 1)
-    explicit = T.first_match(text, fv.LEGACY_DENIED, 1)
-    informed, approved = N.parse_document_number(totals[0]), N.parse_document_number(totals[2])
-    denied = F.when(explicit.isNotNull(), N.parse_document_number(explicit)).otherwise((informed - approved).cast(N.MONEY))
-    found = T.fold(text).contains(fv.LEGACY_MARKER) & provider[0].isNotNull() & totals[0].isNotNull() & closed.isNotNull()
-    bad = F.lit(False)
-    for value in (totals[0], totals[2], explicit):
-        bad = bad | F.coalesce(N.bad_document_number(value), F.lit(False))
+    marked = fence(pages, _marca=T.fold(text).contains(fv.LEGACY_MARKER)).filter("_marca")
+    parts = {f"_prestador{i}": T.first_match(text, fv.LEGACY_PROVIDER, i) for i in range(1, 5)}
+    parts |= {f"_total{i}": T.first_match(text, fv.LEGACY_TOTALS, i) for i in range(1, 4)}
+    parts |= {"_fechado": T.first_match(text, fv.LEGACY_CLOSED, 1), "_explicito": T.first_match(text, fv.LEGACY_DENIED, 1)}
+    found = fence(marked, **parts).filter("_prestador1 is not null and _total1 is not null and _fechado is not null")
+    provider = [F.col(f"_prestador{i}") for i in range(1, 5)]
+    closed, explicit = F.col("_fechado"), F.col("_explicito")
+    numbers = {"_informado": F.col("_total1"), "_aprovado": F.col("_total3"), "_negado": explicit}
+    read, bad = found, F.lit(False)
+    for name, value in numbers.items():
+        # One step each, as the generated code of all of them together would be too large to compile.
+        read = fence(read, **{name: N.parse_document_number(value)})
+        read = fence(read, **{f"{name}_ruim": F.coalesce(N.bad_document_number(value), F.lit(False))})
+        bad = bad | F.col(f"{name}_ruim")
+    informed, approved = F.col("_informado"), F.col("_aprovado")
+    denied = F.when(explicit.isNotNull(), F.col("_negado")).otherwise((informed - approved).cast(N.MONEY))
     values = {
         "cnpj": N.provider_cnpj(provider[2]),
         "nome_prestador": T.edge_trim(provider[3]),
@@ -217,20 +229,20 @@ def parse_legacy_settlement(pages: DataFrame) -> DataFrame:
     columns = [
         values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in SETTLEMENTS.fields if f.name != "id_registro"
     ]
-    return pages.filter(found).select(*columns, bad.alias("erro"))
+    return read.select(*columns, bad.alias("erro"))
 
 
 def parse_settlements(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects): tables first, legacy text for documents they gave nothing for."""
+    """(rows, rejects): tables first, legacy text for documents they gave nothing for.
+
+    A document with a broken value is rejected as a whole; one without any record gives neither rows nor a reject.
+    """
     key = ["processo_origem", "documento_id"]
-    by_table = parse_settlement_tables(pages)
-    done = by_table.select(F.col("processo_origem").alias("numero_processo"), "documento_id").distinct()
-    legacy = parse_legacy_settlement(pages.join(done, ["numero_processo", "documento_id"], "left_anti"))
-    records = by_table.unionByName(legacy)
-    broken = records.filter("erro").select(*key).distinct()
+    layouts = [parse_settlement_tables(pages), parse_legacy_settlement(pages)]
+    ranked = preferred(layouts, None, key)
     names = [c for c in SETTLEMENTS.fieldNames() if c != "id_registro"]
-    clean = records.join(broken, key, "left_anti").withColumn("_fp", fingerprint(names))
+    clean = ranked.filter("not rejeitado").withColumn("_fp", fingerprint(names))
     # Equal records share document and page, so a group is bounded by one page.
     number = F.row_number().over(W.partitionBy("_fp").orderBy("pagina_pdf"))
     rows = clean.withColumn("id_registro", occurrence_id("_fp", number)).select(*SETTLEMENTS.fieldNames())
-    return rows, broken
+    return rows, ranked.filter("rejeitado").select(*key).distinct()
