@@ -115,7 +115,7 @@ class Frames:
     def association(self) -> DataFrame:
         """Monthly statement lines with their process association."""
         totals = self.month_totals().select(F.col("remessa").alias("r2"), F.col("mes").alias("m2"), "total")
-        lines = self.lines().filter("l_returnflag = 'R'").withColumn("v", F.expr("(l_orderkey + l_partkey) % 8"))
+        lines = self.lines().withColumn("v", F.expr("(l_orderkey + l_partkey) % 8"))
         joined = lines.join(totals, (F.col("remessa") == F.col("r2")) & (F.trunc("ship", "month") == F.col("m2")))
         code = "case when v in (2,6,7) then tuss else pf end"
         df = joined.selectExpr(
@@ -284,8 +284,7 @@ CTE = {
    strftime(ship,'%m/%Y') competencia_producao, total valor_protocolo_cogestao,
    case when l_orderkey % 17 = 0 then 'SEM_PROCESSO' when l_orderkey % 19 = 0 then 'AMBIGUO' else 'ASSOCIADO_AUTO' end status_associacao
   from (select l.*, (l_orderkey + l_partkey) % 8 v, cast(price * disc as decimal(18,2)) glosa, t.total
-        from lines l join month_totals t on t.remessa = l.remessa and t.mes = cast(date_trunc('month', l.ship) as date)
-        where l_returnflag = 'R')
+        from lines l join month_totals t on t.remessa = l.remessa and t.mes = cast(date_trunc('month', l.ship) as date))
   where glosa > 0""",
     "manual": """select distinct processo numero_processo, strftime(ship,'%m/%Y') competencia_producao, 'NR' || remessa nr,
    case when l_orderkey % 26 = 0 then 9999 else remessa end cd_remessa

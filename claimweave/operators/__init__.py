@@ -8,3 +8,4 @@ from claimweave.operators.merge import (  # noqa: F401
     replace_window,
 )
 from claimweave.operators.ordered import assign_ids, carry_forward, running_number  # noqa: F401
+from claimweave.operators.skew import many_to_one  # noqa: F401

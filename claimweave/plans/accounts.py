@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from claimweave import fixed_values as fv
 from claimweave.functions import dates as D
 from claimweave.operators.merge import first_by_key
+from claimweave.operators.skew import many_to_one
 from claimweave.plans.staging import ITEM_COLUMNS, item_digest
 
 _KEY = ("prioridade", "k_remessa", "k_conta", "k_atendimento", "k_guia")
@@ -80,7 +81,7 @@ def resolve_accounts(reports: DataFrame, items: DataFrame) -> DataFrame:
         ),
     )
     chosen = (
-        probes.filter("prioridade is not null").join(groups, list(_KEY))
+        many_to_one(probes.filter("prioridade is not null"), groups, _KEY)
         .groupBy("id_registro")
         .agg(F.min_by(F.struct("prioridade", "conta_menor", "meses"), "prioridade").alias("escolha"))
     )
@@ -105,7 +106,11 @@ def resolve_accounts(reports: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def report_items(accounts: DataFrame, reports: DataFrame, items: DataFrame) -> DataFrame:
-    """Billing lines of the newest report row of every (process, remittance, account)."""
+    """Billing lines of the newest report row of every (process, remittance, account).
+
+    Only lines of a wanted account go on; they lie together by account, so that neither the full-width
+    distinct nor the join shuffles them again.
+    """
     details = reports.select(
         "id_registro",
         "documento_id",
@@ -135,7 +140,8 @@ def report_items(accounts: DataFrame, reports: DataFrame, items: DataFrame) -> D
         F.col("cd_remessa").alias("_remessa"),
         F.col("conta").alias("_conta"),
     )
-    lines = items.select(*ITEM_COLUMNS).distinct().withColumn("_digest", item_digest())
+    wanted = account.select(F.col("_remessa").alias("cd_remessa"), F.col("_conta").alias("conta")).distinct()
+    lines = items.select(*ITEM_COLUMNS).join(wanted, ["cd_remessa", "conta"], "left_semi").distinct().withColumn("_digest", item_digest())
     joined = account.join(
         lines, (F.col("_remessa") == F.col("cd_remessa")) & (F.col("_conta") == F.col("conta"))
     )

@@ -5,8 +5,13 @@ value).  So a rule is a key: billing lines are exploded to the keys under which
 can see them and aggregated to one row per key; denials are exploded to the keys they ask
 for.  The join is many-to-one.  Its cost is linear in denials and lines even when one card
 or service (for example the blank one) holds a large share of both sides, because no
-denial/line pair is ever formed to decide a link.  A context is unique when the smallest
-and the largest (process, remittance, account) of the key are the same.
+denial/line pair is ever formed to decide a link, and the denials of such a key stay spread
+over all tasks (see :mod:`claimweave.operators.skew`).  A context is unique when each of its parts
+(process, remittance, account) has one value or is always null.
+
+Lines are reduced by numbers only, so that the aggregation is a hash aggregation: a process stands for itself as a hash
+until the end, and the first line of a key is the smallest of numbers made of its entry and its
+content key (``line_order``).
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from pyspark.sql import functions as F
 from claimweave import fixed_values as fv
 from claimweave.functions import numbers as N
 from claimweave.functions import text as T
+from claimweave.operators.skew import many_to_one
 from claimweave.plans.remittances import expected_remittances
 from claimweave.plans.staging import ITEM_COLUMNS, item_digest
 
@@ -27,6 +33,8 @@ RULE_KEY = ("k", *_KEY_FIELDS)
 _NO_REMITTANCE = -1
 _ANY_MONTH = -1
 _LEGACY_FROM = 21
+# 2 to the 63rd makes any entry positive; 2 to the 60th leaves room for 15 hexadecimal digits.
+_SHIFT, _BITS = str(2**63), str(2**60)
 
 CRITERIA = {
     fv.DIRECT_RULE[0]: fv.DIRECT_RULE[1],
@@ -107,9 +115,20 @@ def _denial_keys(rules, remittance: Column, direct: bool) -> Column:
     return F.array(*keys)
 
 
+def line_order() -> Column:
+    """A line's place among the lines of a key as one number: entry (nulls last), then the first 60 bits of its content key.
+
+    It is also what a line is found by again. Two lines with one number would have to share the entry
+    and 60 bits of a digest.
+    """
+    entry = F.coalesce(F.col("cd_lancamento").cast("decimal(20,0)"), F.lit(_SHIFT).cast("decimal(20,0)")) + F.lit(_SHIFT).cast("decimal(20,0)")
+    digest = F.conv(F.substring(item_digest(), 1, 15), 16, 10).cast("decimal(19,0)")
+    return (entry * F.lit(_BITS).cast("decimal(19,0)") + digest).cast("decimal(38,0)")
+
+
 def _with_months(lines: DataFrame) -> DataFrame:
     names = ("competencia", "lancamento", "atendimento")
-    return lines.withColumns({f"_mes_{n}": _month_number(f"dt_{n}") for n in names}).withColumn("_digest", item_digest())
+    return lines.withColumns({f"_mes_{n}": _month_number(f"dt_{n}") for n in names}).withColumn("_linha", line_order())
 
 
 def _with_match_fields(denials: DataFrame) -> DataFrame:
@@ -128,14 +147,14 @@ def _keyed(rows: DataFrame) -> DataFrame:
 
 def _report_line_keys(report_items: DataFrame, extra=()) -> DataFrame:
     keys = _item_keys(fv.FALLBACK_RULES, F.lit(_NO_REMITTANCE).cast("bigint"), direct=True)
-    line = ("numero_processo", "cd_remessa", "conta", "cd_lancamento", "_digest")
+    line = ("numero_processo", "cd_remessa", "conta", "cd_lancamento", "_linha")
     return _keyed(_with_months(report_items).select(F.inline(keys), *line, *extra))
 
 
 def _hospital_line_keys(items: DataFrame, extra=()) -> DataFrame:
     keys = _item_keys(fv.LEGACY_RULES, F.col("cd_remessa"), direct=False)
     process = F.lit(None).cast("string").alias("numero_processo")
-    line = ("cd_remessa", "conta", "cd_lancamento", "_digest")
+    line = ("cd_remessa", "conta", "cd_lancamento", "_linha")
     return _keyed(_with_months(items).select(F.inline(keys), process, *line, *extra))
 
 
@@ -154,49 +173,54 @@ def _legacy_probes(denials: DataFrame, remittances: DataFrame) -> DataFrame:
 
 
 def _reduce_lines(lines: DataFrame) -> DataFrame:
-    """One row per rule key: extremes of context and entry, and the first line in order."""
-    context = F.struct("numero_processo", "cd_remessa", "conta")
-    entry = F.struct("cd_lancamento")
-    first = F.struct(F.col("cd_lancamento").isNull().alias("nulo"), "cd_lancamento", "_digest")
-    return lines.groupBy(*RULE_KEY).agg(
-        F.min(context).alias("contexto_menor"),
-        F.max(context).alias("contexto_maior"),
-        F.min(entry).alias("item_menor"),
-        F.max(entry).alias("item_maior"),
-        F.min(first).alias("primeiro"),
+    """One row per rule key: extremes and null counts of the parts of context and entry, and the first line in order."""
+    return lines.withColumn("_processo", _process_hash("numero_processo")).groupBy(*RULE_KEY).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[x for name, part in _PARTS.items() for x in (F.min(part).alias(f"{name}_a"), F.max(part).alias(f"{name}_b"), F.count(part).alias(f"{name}_n"))],
+        F.min("_linha").alias("_linha"),
     )
 
 
+def _process_hash(name: str) -> Column:
+    return F.when(F.col(name).isNotNull(), F.xxhash64(name))
+
+
+#: Parts of a context and the entry, and the columns that hold them.
+_PARTS = {"processo": "_processo", "remessa": "cd_remessa", "conta": "conta", "item": "cd_lancamento"}
+
+
+def _constant(name: str) -> Column:
+    """All rows have one value, or all have none."""
+    whole = (F.col(f"{name}_n") == F.col("n")) & (F.col(f"{name}_a") == F.col(f"{name}_b"))
+    return (F.col(f"{name}_n") == 0) | F.coalesce(whole, F.lit(False))
+
+
 def rule_results(
     denials: DataFrame, report_items: DataFrame, items: DataFrame, remittances: DataFrame
 ) -> DataFrame:
     """Per denial and rule with candidates: is the context unique, is the line unique, which line is first.
 
     The remittance in a legacy key keeps lines of different expected remittances apart;
-    they meet again here, per denial and rule.
+    they meet again here, per denial and rule. ``_processo`` is the hash of the line's process, where it has one,
+    and ``_proprio`` the process of the denial itself, for legacy rules.
     """
-    report_hits = _report_probes(denials).join(_reduce_lines(_report_line_keys(report_items)), list(RULE_KEY))
-    legacy_hits = _legacy_probes(denials, remittances).join(_reduce_lines(_hospital_line_keys(items)), list(RULE_KEY))
+    report_hits = many_to_one(_report_probes(denials), _reduce_lines(_report_line_keys(report_items)), RULE_KEY)
+    legacy_hits = many_to_one(_legacy_probes(denials, remittances), _reduce_lines(_hospital_line_keys(items)), RULE_KEY)
     hits = report_hits.unionByName(legacy_hits)
-    # Both aggregations below cluster on the denial id, so one exchange serves the two.
+    extremes = [x for name in _PARTS for x in (F.min(f"{name}_a").alias(f"{name}_a"), F.max(f"{name}_b").alias(f"{name}_b"), F.sum(f"{name}_n").alias(f"{name}_n"))]
+    # Both aggregations below cluster on the denial id, so one exchange serves the two. A rule of a denial has one own process.
     return (
         hits.repartition("id_registro")
-        .groupBy("id_registro", "prioridade")
-        .agg(
-            F.min("contexto_menor").alias("contexto"),
-            F.max("contexto_maior").alias("contexto_maior"),
-            F.min("item_menor").alias("item"),
-            F.max("item_maior").alias("item_maior"),
-            F.min("primeiro").alias("primeiro"),
-            F.max("_processo").alias("processo_proprio"),
-        )
+        .groupBy("id_registro", "prioridade", F.col("_processo").alias("_proprio"))
+        .agg(F.sum("n").alias("n"), *extremes, F.min("_linha").alias("_linha"))
         .select(
             "id_registro",
             "prioridade",
-            F.col("contexto").eqNullSafe(F.col("contexto_maior")).alias("seguro"),
-            F.col("item").eqNullSafe(F.col("item_maior")).alias("item_unico"),
-            F.coalesce("contexto.numero_processo", "processo_proprio").alias("numero_processo"),
-            F.col("primeiro._digest").alias("_digest"),
+            (_constant("processo") & _constant("remessa") & _constant("conta")).alias("seguro"),
+            _constant("item").alias("item_unico"),
+            F.col("processo_a").alias("_processo"),
+            "_proprio",
+            "_linha",
         )
     )
 
@@ -209,22 +233,26 @@ def outcomes(results: DataFrame) -> DataFrame:
     """
     safe = F.when(F.col("seguro"), F.col("prioridade"))
     unsafe = F.when(~F.col("seguro") & (F.col("prioridade") >= _LEGACY_FROM), F.col("prioridade"))
-    pick = F.when(F.col("seguro"), F.struct("prioridade", "item_unico", "numero_processo", "_digest"))
+    pick = F.when(F.col("seguro"), F.struct("prioridade", "item_unico", "_processo", "_proprio", "_linha"))
     return results.groupBy("id_registro").agg(
         F.min_by(pick, safe).alias("escolha"), F.min(unsafe).alias("prioridade_insegura")
     )
 
 
-def resolve(outcome: DataFrame, items: DataFrame) -> DataFrame:
-    """Exactly one billing line per resolvable denial, with the rule that chose it."""
+def resolve(outcome: DataFrame, items: DataFrame, report_items: DataFrame) -> DataFrame:
+    """Exactly one billing line per resolvable denial, with the rule that chose it.
+
+    The chosen lines are first cut down to one row per line, however many denials chose it, and
+    processes to one row per process; both joins are many-to-one.
+    """
     chosen = outcome.filter(F.col("escolha").isNotNull()).select("id_registro", "escolha.*")
-    wanted = chosen.select("_digest").distinct()
-    lines = (
-        items.withColumn("_digest", item_digest()).join(wanted, "_digest", "left_semi").dropDuplicates(["_digest"])
-    )
+    wanted = chosen.select("_linha").distinct()
+    lines = items.withColumn("_linha", line_order()).join(wanted, "_linha", "left_semi").dropDuplicates(["_linha"])
+    processes = report_items.select(_process_hash("numero_processo").alias("_processo"), "numero_processo").filter("_processo is not null").dropDuplicates(["_processo"])
+    named = many_to_one(chosen, processes, ["_processo"], "left").withColumn("numero_processo", F.coalesce("numero_processo", "_proprio"))
     renamed = {"nr_guia_normalizada": "nr_guia", "cd_pro_fat_normalizado": "cd_pro_fat", "cd_tuss_normalizado": "cd_tuss"}
     shown = [c for c in ITEM_COLUMNS if not c.startswith("nr_carteira")]
-    return chosen.join(lines, "_digest").select(
+    return many_to_one(named, lines, ["_linha"]).select(
         "id_registro",
         "numero_processo",
         criterion_of(F.col("prioridade")).alias("criterio"),
@@ -249,8 +277,8 @@ def rule_counts(
             F.count(F.lit(1)).alias("contextos"), F.sum("itens").alias("itens"), F.sum("n").alias("candidatos")
         )
 
-    report = _report_probes(denials).join(counted(_report_line_keys(report_items)), list(RULE_KEY))
-    legacy = _legacy_probes(denials, remittances).join(counted(_hospital_line_keys(items)), list(RULE_KEY))
+    report = many_to_one(_report_probes(denials), counted(_report_line_keys(report_items)), RULE_KEY)
+    legacy = many_to_one(_legacy_probes(denials, remittances), counted(_hospital_line_keys(items)), RULE_KEY)
     # Expected remittances of one denial are different, so their contexts add up.
     return (
         report.unionByName(legacy)

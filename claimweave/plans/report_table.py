@@ -9,6 +9,7 @@ from claimweave import fixed_values as fv
 from claimweave.functions import dates as D
 from claimweave.functions import text as T
 from claimweave.operators.merge import first_by_key, merge_by_key
+from claimweave.operators.skew import many_to_one
 from claimweave.schemas import REPORT_ROWS
 
 
@@ -23,11 +24,8 @@ def _process_status(processes: DataFrame) -> DataFrame:
 def migrate_legacy(current: DataFrame, legacy: DataFrame, processes: DataFrame) -> DataFrame:
     """Upsert legacy report rows of final or running processes, with the process status."""
     status = _process_status(processes).filter(F.col("_status").isin(*fv.REPORT_STATUSES))
-    rows = (
-        legacy.withColumn("_processo", T.upper_trim("numero_processo"))
-        .join(status, "_processo")
-        .withColumn("status_processo", F.col("_status"))
-    )
+    named = legacy.withColumn("_processo", T.upper_trim("numero_processo"))
+    rows = many_to_one(named, status, ["_processo"]).withColumn("status_processo", F.col("_status"))
     incoming = rows.select(*[c for c in current.columns if c in rows.columns])
     for name in current.columns:
         if name not in incoming.columns:
@@ -38,7 +36,7 @@ def migrate_legacy(current: DataFrame, legacy: DataFrame, processes: DataFrame)
 def refresh_status(reports: DataFrame, processes: DataFrame) -> DataFrame:
     """Report status follows the process table wherever it is different."""
     status = _process_status(processes).withColumn("_achado", F.lit(True))
-    joined = reports.withColumn("_processo", T.upper_trim("numero_processo")).join(status, "_processo", "left")
+    joined = many_to_one(reports.withColumn("_processo", T.upper_trim("numero_processo")), status, ["_processo"], "left")
     changed = F.coalesce("_achado", F.lit(False)) & ~F.col("status_processo").eqNullSafe(F.col("_status"))
     return joined.withColumn("status_processo", F.when(changed, F.col("_status")).otherwise(F.col("status_processo"))).select(
         *reports.columns
@@ -83,9 +81,11 @@ def enrich_reports(rows: DataFrame, items: DataFrame) -> DataFrame:
     """Correct identifiers from the hospital lines of the same remittance and value.
 
     Lines of the same patient win over the others; a correction needs all matching lines
-    to agree.  Lines are reduced per (remittance, value[, patient]) to their smallest and
-    largest record first, so each report row meets at most one row per level.
+    to agree.  Only lines of the rows' remittances go on.  They are reduced per (remittance, value[, patient]) to
+    their smallest and largest record first, so each report row meets at most one row per level.
     """
+    wanted = rows.select("cd_remessa").filter("cd_remessa is not null").distinct()
+    items = items.join(wanted, "cd_remessa", "left_semi")
     lines = items.filter(F.col("vl_total_conta").isNotNull() & F.col("cd_remessa").isNotNull()).select(
         "cd_remessa",
         F.col("vl_total_conta").cast("decimal(18,2)").alias("valor"),
@@ -106,11 +106,11 @@ def enrich_reports(rows: DataFrame, items: DataFrame) -> DataFrame:
         .agg(F.min(D.month_start("dt_competencia")).alias("m1"), F.max(D.month_start("dt_competencia")).alias("m2"))
         .select("cd_remessa", F.when(F.col("m1") == F.col("m2"), F.col("m1")).alias("_mes_remessa"))
     )
+    joined = rows.withColumn("_paciente", T.match_key("nome_paciente"))
+    for keys, name in ((["cd_remessa", "valor", "_paciente"], "_mesmo"), (["cd_remessa", "valor"], "_qualquer")):
+        joined = many_to_one(joined, agreed(keys, name), keys, "left")
     joined = (
-        rows.withColumn("_paciente", T.match_key("nome_paciente"))
-        .join(agreed(["cd_remessa", "valor", "_paciente"], "_mesmo"), ["cd_remessa", "valor", "_paciente"], "left")
-        .join(agreed(["cd_remessa", "valor"], "_qualquer"), ["cd_remessa", "valor"], "left")
-        .join(months, "cd_remessa", "left")
+        many_to_one(joined, months, ["cd_remessa"], "left")
         .withColumn("_linha", F.coalesce("_mesmo", "_qualquer").getField("linha"))
         .withColumn("competencia", F.coalesce("competencia", "_mes_remessa"))
     )
@@ -137,7 +137,7 @@ def fill_single_month(rows: DataFrame) -> DataFrame:
         .agg(F.min("competencia").alias("m1"), F.max("competencia").alias("m2"))
         .select("numero_processo", F.when(F.col("m1") == F.col("m2"), F.col("m1")).alias("_mes"))
     )
-    joined = rows.join(months, "numero_processo", "left")
+    joined = many_to_one(rows, months, ["numero_processo"], "left")
     return joined.withColumn("competencia", F.coalesce("competencia", "_mes")).select(*rows.columns)
 
 

@@ -12,6 +12,7 @@ from claimweave.functions import dates as D
 from claimweave.functions import numbers as N
 from claimweave.functions import text as T
 from claimweave.functions.identity import row_digest
+from claimweave.operators.skew import many_to_one
 from claimweave.schemas import ASSOCIATION
 
 ITEM_COLUMNS = (
@@ -100,7 +101,7 @@ def stage_reports(reports: DataFrame) -> DataFrame:
     normalised = eligible_processes(reports).withColumn(
         "numero_processo_normalizado", T.upper_trim("numero_processo")
     )
-    joined = normalised.join(modal_months(reports), "numero_processo_normalizado", "left")
+    joined = many_to_one(normalised, modal_months(reports), ["numero_processo_normalizado"], "left")
     return joined.select(
         F.col("id_registro").cast("string").alias("id_registro"),
         F.trim("numero_processo").alias("numero_processo"),
