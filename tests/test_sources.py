@@ -2,11 +2,14 @@
 
 import datetime as dt
 import io
+import random
 import zipfile
 from decimal import Decimal
+from xml.etree import ElementTree
 
 from pyspark.sql import functions as F
 
+from claimweave import fixed_values as fv
 from claimweave.sources import cards, invoices, statements
 from claimweave.sources.tables import SnapshotStore, append_ledger, read_ledger
 from claimweave.streaming.ingest import ingest_invoices, ingest_statements
@@ -99,3 +102,74 @@ def test_ledger_skips_malformed_lines(spark, tmp_path):
 def test_sectors(spark):
     frame = spark.createDataFrame([("IPM/ Saúde Cogestão/",), ("ipm/cogestora",), ("IPM/NUEXO",)], "s string")
     assert [r[0] for r in frame.select(cards.canonical_sector("s")).collect()] == ["ipm/saudecogestao", "ipm/saudecogestao", "ipm/nuexo"]
+
+
+def test_unreadable_documents_are_rows(spark):
+    documents = [
+        ("ok", "a.xml", b"<CompNfse><Nfse><InfNfse><Competencia>2026-01-05</Competencia><PrestadorServico><IdentificacaoPrestador><Cnpj>12.3</Cnpj></IdentificacaoPrestador></PrestadorServico></InfNfse></Nfse></CompNfse>"),
+        ("mixed", "a.xml", b"<CompNfse><Nfse><InfNfse><Competencia>2026-01-05</Competencia><PrestadorServico><IdentificacaoPrestador><Cnpj>123</Cnpj></IdentificacaoPrestador></PrestadorServico></InfNfse></Nfse></CompNfse>"),
+        ("mixed", "b.xml", b"<a><b></a>"),
+        ("none", "a.xml", None),
+        ("empty", "a.xml", b""),
+        ("bytes", "a.xml", b"\xff\xfe\x00<"),
+        ("code", "a.xml", b"<?xml version='1.0' encoding='x-unknown'?><a/>"),
+        ("deep", "a.xml", b"<a>" * 5000 + b"x" + b"</a>" * 5000),
+    ]
+    frame = spark.createDataFrame(documents, invoices.DOCUMENTS)
+    nodes = invoices.invoice_nodes(frame).collect()
+    assert len(nodes) == len(documents) and {n.arquivo for n in nodes if n.erro} == {"mixed", "none", "empty", "bytes", "code", "deep"}
+    period = {r.arquivo: (str(r.competencia), r.erro is None) for r in invoices.infer_period(invoices.invoice_nodes(frame)).collect()}
+    assert period["ok"] == ("2026-01-01", True) and not any(good for name, (_, good) in period.items() if name != "ok")
+    checked = {r.arquivo: r.erro for r in invoices.check_provider(invoices.provider_ids(frame), "1/23").collect()}
+    assert "ok" not in checked and checked["mixed"].startswith("XML invalido") and checked["none"] == "documento ausente"
+    assert checked["deep"] == "CNPJ do prestador ausente"
+    assert invoices.invoice_nodes(frame.limit(0)).count() == 0
+
+
+def _by_paths(node):
+    """Mapped texts by following each path on its own."""
+    tag = lambda e: e.tag.rsplit("}", 1)[-1]
+    text = lambda e: " ".join((e.text or "").split()) or None
+    out = {}
+    for name, paths in fv.INVOICE_PATHS.items():
+        out[name] = None
+        for path in paths:
+            parts, here = path.split("/"), [node]
+            for part in parts[1:] if parts[0] == tag(node) else parts:
+                here = [c for e in here for c in e if tag(c) == part]
+            found = [t for t in map(text, here) if t is not None]
+            if found:
+                out[name] = found[0]
+                break
+    for name, names in fv.INVOICE_NAMES.items():
+        out[name] = next((text(e) for e in node.iter() if tag(e) in names and text(e)), None)
+    return out
+
+
+def test_one_walk_equals_following_each_path(spark):
+    """Random documents over the elements of the mapped paths, with repeats, gaps and blanks."""
+    rng = random.Random(7)
+    tags = sorted({p for paths in fv.INVOICE_PATHS.values() for path in paths for p in path.split("/")} | {n for names in fv.INVOICE_NAMES.values() for n in names})
+    paths = [path.split("/") for paths in fv.INVOICE_PATHS.values() for path in paths]
+
+    def document():
+        root = ElementTree.Element(rng.choice(["CompNfse", "Nfse", "InfNfse", "LoteRps", "{http://x}CompNfse"]))
+        for _ in range(rng.randint(0, 25)):
+            here = root
+            path = rng.choice(paths)
+            for part in path[1:] if path[0] == root.tag else path:
+                known = [c for c in here if c.tag == part]
+                here = rng.choice(known) if known and rng.random() < 0.7 else ElementTree.SubElement(here, part)
+            here.text = rng.choice([None, " ", "a", " b  c ", str(rng.random())])
+            if rng.random() < 0.2:
+                ElementTree.SubElement(here, rng.choice(tags)).text = "extra"
+        return ElementTree.tostring(root)
+
+    made = [(f"f{i}", "m", document()) for i in range(300)]
+    got = {}
+    for n in invoices.invoice_nodes(spark.createDataFrame(made, invoices.DOCUMENTS)).collect():
+        got.setdefault(n.arquivo, []).append(n)
+    for name, _, content in made:
+        root = ElementTree.fromstring(content)
+        for n, node in zip(got[name], invoices._nodes_of(root), strict=True):
+            assert {c: n[c] for c in invoices.MAPPED} == _by_paths(node), name
