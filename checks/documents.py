@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from checks.frames import Frames, run_ts, sql
 from checks.registry import query
+from claimweave import fixed_values as fv
 from claimweave.functions import text as T
 from claimweave.session import shared_folder
 from claimweave.sources import cards as P
@@ -112,8 +113,12 @@ _XML = """concat('<ConsultarNfseResposta xmlns="http://www.abrasf.org.br/nfse.xs
  '</InfDeclaracaoPrestacaoServico></DeclaracaoPrestacaoServico></InfNfse></Nfse></CompNfse></ListaNfse></ConsultarNfseResposta>')"""
 
 
+#: Tasks that render and walk the documents, however few files the rows came from.
+_SPREAD = 64
+
+
 def _invoice_documents(f: Frames):
-    return f.t("orders").selectExpr(
+    return f.t("orders").repartition(_SPREAD).selectExpr(
         "concat('nota_', o_orderkey, '.xml') as arquivo", "concat('nota_', o_orderkey, '.xml') as membro", f"encode({_XML}, 'UTF-8') as documento"
     )
 
@@ -145,10 +150,11 @@ def _invoices(f):
 
 @query(
     "xml_flatten",
-    """select o_orderkey + 1000000000 numero, 'Cliente & ' || o_custkey primeira, 'B' segunda, cast(4 as bigint) chaves from orders""",
+    """select o_orderkey + 1000000000 numero, 'Cliente & ' || o_custkey primeira, 'B' segunda, cast(4 as bigint) chaves from orders
+union all select o_orderkey, null, null, 7 from orders""",
 )
 def _flatten(f):
-    nodes = X.invoice_nodes(_invoice_documents(f)).filter("indice_documento_xml = 2")
+    nodes = X.invoice_nodes(_invoice_documents(f))
     root = "compnfse_nfse_infnfse"
     name = f"{root}_declaracaoprestacaoservico_infdeclaracaoprestacaoservico_tomador_razaosocial"
     return nodes.select(
@@ -159,20 +165,73 @@ def _flatten(f):
     )
 
 
+def _damaged_documents(f: Frames):
+    """The invoice documents; every seventh is cut off, every eleventh has another root without a provider or a month."""
+    return f.t("orders").repartition(_SPREAD).selectExpr(
+        "concat('nota_', o_orderkey, '.xml') as arquivo",
+        "'a.xml' as membro",
+        f"encode(case when o_orderkey % 7 = 0 then substr({_XML}, 1, 300) when o_orderkey % 11 = 0 then '<vazio/>' else {_XML} end, 'UTF-8') as documento",
+    )
+
+
 @query(
     "provider_check",
-    """select 'nota_' || o_orderkey || '.xml' arquivo, 'CNPJ do prestador diferente' erro from orders where o_custkey % 3 <> 0""",
+    """select 'nota_' || o_orderkey || '.xml' arquivo, case when o_orderkey % 7 = 0 then 'XML invalido' when o_orderkey % 11 = 0 then 'CNPJ do prestador ausente'
+ else 'CNPJ do prestador diferente' end erro from orders where o_custkey % 3 <> 0 or o_orderkey % 7 = 0 or o_orderkey % 11 = 0""",
 )
 def _provider(f):
-    return X.check_provider(X.provider_ids(_invoice_documents(f)), "12.345.678/0001-00")
+    found = X.check_provider(X.provider_ids(_damaged_documents(f)), "12.345.678/0001-00")
+    return found.withColumn("erro", F.substring_index("erro", ":", 1))  # without the parser's own words
 
 
 @query(
     "invoice_period",
-    "select 'nota_' || o_orderkey || '.xml' arquivo, cast(date_trunc('month', o_orderdate) as date) competencia from orders",
+    """select 'nota_' || o_orderkey || '.xml' arquivo, case when o_orderkey % 7 <> 0 and o_orderkey % 11 <> 0 then cast(date_trunc('month', o_orderdate) as date) end competencia,
+ case when o_orderkey % 7 = 0 then 'XML invalido' when o_orderkey % 11 = 0 then 'competencia nao identificada' end erro from orders""",
 )
 def _period(f):
-    return X.infer_period(X.invoice_nodes(_invoice_documents(f))).filter("erro is null").drop("erro")
+    found = X.infer_period(X.invoice_nodes(_damaged_documents(f)))
+    return found.withColumn("erro", F.substring_index("erro", ":", 1))
+
+
+def _leaves(paths: dict[str, tuple[str, ...]], rank: int) -> dict[str, str]:
+    """Mapped column to the path of that rank, where it has one below the invoice node."""
+    return {name: own[rank] for name, own in paths.items() if len(own) > rank}
+
+
+def _nested(leaves: dict[str, str]) -> str:
+    """SQL text of elements for the paths, each holding its column's name and the order's key."""
+    tree: dict = {}
+    for name, path in leaves.items():
+        here = tree
+        for part in path.split("/"):
+            here = here.setdefault(part, {})
+        here["#"] = name
+
+    def spell(node: dict) -> str:
+        return "".join(f"<{t}>{own['#'] + ' {k}' if '#' in own else ''}{spell({c: x for c, x in own.items() if c != '#'})}</{t}>" for t, own in node.items())
+
+    return "concat('<CompNfse>" + spell(tree).replace("{k}", "', o_orderkey, '") + "</CompNfse>')"
+
+
+#: Columns whose path another column reads as well: they share its text.
+_FIRST_PATHS = _leaves(fv.INVOICE_PATHS, 0)
+
+
+@query(
+    "invoice_columns",
+    "select o_orderkey id, "
+    + ", ".join(f"'{n} ' || o_orderkey {n}" for n in _FIRST_PATHS)
+    + ", 'aliquota_xml ' || o_orderkey aliquota, "
+    + ", ".join(f"'{n} ' || o_orderkey {n}" for n in fv.INVOICE_NAMES)
+    + " from orders",
+)
+def _invoice_columns(f):
+    """Every mapped column of one document that holds all first paths and all elements found by name."""
+    leaves = {**_FIRST_PATHS, **{name: f"Extra/{own[-1]}" for name, own in fv.INVOICE_NAMES.items()}}
+    documents = f.t("orders").repartition(_SPREAD).selectExpr("cast(o_orderkey as string) as arquivo", "'a.xml' as membro", f"encode({_nested(leaves)}, 'UTF-8') as documento")
+    rows = X.project_invoice(X.invoice_nodes(documents))
+    return rows.select(F.col("arquivo").cast("bigint").alias("id"), *X.MAPPED, "aliquota")
 
 
 def _pack(batches):
@@ -227,12 +286,12 @@ def _stream(f):
         .start()
     )
     running.awaitTermination()
-    version = store.versions()["nfse_xml"]
-    return spark.read.parquet(f"{base}/tables/nfse_xml/{version}").select("numero_nfse", "codigo_verificacao_nfse")
+    rows = spark.read.parquet(*[f"{store.root}/{p['caminho']}" for p in store.parts("nfse_xml")])
+    return rows.select("numero_nfse", "codigo_verificacao_nfse")
 
 
 def _documents_of(orders):
-    return orders.selectExpr(
+    return orders.repartition(_SPREAD).selectExpr(
         "concat('nota_', o_orderkey, '.xml') as arquivo", "concat('nota_', o_orderkey, '.xml') as membro", f"encode({_XML}, 'UTF-8') as documento"
     )
 
@@ -298,14 +357,13 @@ _ORDERS_SQL = """(select *, cast(o_totalprice as decimal(18,2)) price, o_custkey
  'D' || o_orderkey line_id from orders)"""
 
 
-@query(
-    "report_tables",
-    ("""select line_id documento_id, remessa cd_remessa, 'JOÃO ' || o_custkey nome_paciente, 'G' || (o_orderkey % 500) numero_guia,
+_REPORT_TABLES_SQL = ("""select line_id documento_id, remessa cd_remessa, 'JOÃO ' || o_custkey nome_paciente, 'G' || (o_orderkey % 500) numero_guia,
  case when o_orderkey % 3 = 2 then cast(o_orderkey as varchar) else cast(o_orderkey as varchar) end numero_conta, atend + 1 cd_atendimento,
- cast(date_trunc('month', ship) as date) competencia, price valor, n from {o} join (values (0, 1), (1, 1), (1, 2), (2, 1)) k(caso, n) on k.caso = o_orderkey % 3""").replace("price valor, n from", "price valor from").replace("{o}", _ORDERS_SQL),
-)
-def _report_tables(f):
-    value = brl("price")
+ cast(date_trunc('month', ship) as date) competencia, price valor, n from {o} join (values (0, 1), (1, 1), (1, 2), (2, 1)) k(caso, n) on k.caso = o_orderkey % 3""").replace("price valor, n from", "price valor from").replace("{o}", _ORDERS_SQL)
+
+
+def _table_pages(orders, value: str):
+    """Pages with a one- or two-row header, or with labelled text, by the order's key."""
     row = (
         "array(cast(remessa as string), concat('JOÃO  ', o_custkey), concat('G', o_orderkey % 500), concat(o_orderkey, ' ', atend + 1), '',"
         f" date_format(ship, 'MM/yyyy'), concat('R$ ', {value}))"
@@ -319,25 +377,29 @@ def _report_tables(f):
         f" concat('Valor: ', {value}))"
     )
     empty = "array(array(array('', cast(null as string))))"
-    pages = _order_pages(f).selectExpr(
+    return orders.selectExpr(
         *_DOC,
         "1 as page",
         f"case o_orderkey % 3 when 0 then array(array({one}, {row})) when 1 then array(array({two_a}, {two_b}, {row}, {one}, {row})) else {empty} end as tables",
         f"case when o_orderkey % 3 = 2 then {text} else '' end as text",
     )
-    rows = R.parse_report_tables(pages).filter("completo and not erro")
-    return rows.select(
-        "documento_id", "cd_remessa", "nome_paciente", "numero_guia", "numero_conta", "cd_atendimento", "competencia", "valor"
-    )
 
 
-@query(
-    "report_words",
-    ("""select line_id documento_id, remessa cd_remessa, 'MARIA ' || o_custkey nome_paciente, 'G' || (o_orderkey % 500) numero_guia,
+_REPORT_COLUMNS = ("documento_id", "cd_remessa", "nome_paciente", "numero_guia", "numero_conta", "cd_atendimento", "competencia", "valor")
+
+
+@query("report_tables", _REPORT_TABLES_SQL)
+def _report_tables(f):
+    rows = R.parse_report_tables(_table_pages(_order_pages(f), brl("price"))).filter("completo and not erro")
+    return rows.select(*_REPORT_COLUMNS)
+
+
+_REPORT_WORDS_SQL = ("""select line_id documento_id, remessa cd_remessa, 'MARIA ' || o_custkey nome_paciente, 'G' || (o_orderkey % 500) numero_guia,
  cast(o_orderkey as varchar) numero_conta, atend cd_atendimento, cast(date_trunc('month', ship) as date) competencia, price valor from {o}
-union all select line_id, remessa, 'PEDRO', null, cast(o_orderkey as varchar), remessa, cast(date_trunc('month', ship) as date), price + 1 from {o}""").replace("price + 1 from", "cast(price + 1 as decimal(18,2)) from").replace("{o}", _ORDERS_SQL),
-)
-def _report_words(f):
+union all select line_id, remessa, 'PEDRO', null, cast(o_orderkey as varchar), remessa, cast(date_trunc('month', ship) as date), price + 1 from {o}""").replace("price + 1 from", "cast(price + 1 as decimal(18,2)) from").replace("{o}", _ORDERS_SQL)
+
+
+def _word_pages(orders):
     def word(text: str, x: float, top: float) -> str:
         return f"named_struct('text', {text}, 'x0', {x}d, 'top', {top}d)"
 
@@ -357,14 +419,42 @@ def _report_words(f):
         word("'Total'", 300, 180),
         word("'9.999,99'", 540, 190),
     ]
-    pages = _order_pages(f).selectExpr(
+    return orders.selectExpr(
         *_DOC, "1 as page", "800d as height", "concat('Compet.: ', date_format(ship, 'MM/yyyy'), ' fim') as text", "array(" + ", ".join(words) + ") as words"
     )
+
+
+@query("report_words", _REPORT_WORDS_SQL)
+def _report_words(f):
     # A row whose value is no number rejects its document, so the loose word has no value at all.
-    rows = R.parse_report_words(pages).filter("completo and not erro")
-    return rows.select(
-        "documento_id", "cd_remessa", "nome_paciente", "numero_guia", "numero_conta", "cd_atendimento", "competencia", "valor"
-    )
+    rows = R.parse_report_words(_word_pages(_order_pages(f))).filter("completo and not erro")
+    return rows.select(*_REPORT_COLUMNS)
+
+
+def _mixed_reports(f: Frames):
+    """Words for two documents of four, tables for one of these and two others; some values are broken, one page in four is blank."""
+    orders = _order_pages(f)
+    tables = _table_pages(orders.filter("o_orderkey % 4 > 0"), "case when o_orderkey % 10 = 6 then 'x' else " + brl("price") + " end")
+    blank = F.substring("documento_id", 2, 20).cast("bigint") % 4 == 3
+    tables = tables.withColumns({"tables": F.when(~blank, F.col("tables")).otherwise(F.array().cast(tables.schema["tables"].dataType)), "text": F.when(~blank, F.col("text"))})
+    return R.parse_reports(_word_pages(orders.filter("o_orderkey % 4 < 2")), tables, run_ts())
+
+
+@query(
+    "report_layouts",
+    f"select * from ({_REPORT_WORDS_SQL}) where cast(substr(documento_id, 2) as bigint) % 4 < 2 union all select * from ({_REPORT_TABLES_SQL})"
+    " where cast(substr(documento_id, 2) as bigint) % 4 = 2 and cast(substr(documento_id, 2) as bigint) % 10 <> 6",
+)
+def _report_layouts(f):
+    return _mixed_reports(f)[0].select(*_REPORT_COLUMNS)
+
+
+@query(
+    "report_rejects",
+    "select 'P' || (100000 + o_orderkey) || '/2025' numero_processo, 'D' || o_orderkey documento_id from orders where o_orderkey % 4 = 3 or (o_orderkey % 4 = 2 and o_orderkey % 10 = 6)",
+)
+def _report_rejects(f):
+    return _mixed_reports(f)[1].select("numero_processo", "documento_id")
 
 
 # --- settlement documents -------------------------------------------------
@@ -395,48 +485,48 @@ def _settlement_pages(f: Frames):
     return first.unionByName(second)
 
 
-@query(
-    "settlement_tables",
-    """select '12345678000190' cnpj, 'HOSPITAL ' || o_custkey nome_prestador, 'P' || (200000 + o_orderkey) || '/2025' numero_processo, 'P' || (100000 + o_orderkey) || '/2025' processo_origem,
+_SETTLEMENT_SQL = """select '12345678000190' cnpj, 'HOSPITAL ' || o_custkey nome_prestador, 'P' || (200000 + o_orderkey) || '/2025' numero_processo, 'P' || (100000 + o_orderkey) || '/2025' processo_origem,
  'R-' || o_orderkey processo_recurso, strftime(o_orderdate, '%m/%Y') competencia_tms, cast(o_orderdate as date) data_fechamento, v valor_informado, cast(0 as decimal(18,2)) valor_glosado_producao,
  k.n || o_orderkey nr, 'O' || o_orderkey nr_origem, v valor_protocolo, cast(-1.5 as decimal(18,2)) valor_glosado_protocolo, v valor_aprovado_protocolo, cast(k.n as bigint) pagina_pdf
-from (select *, cast(o_totalprice as decimal(18,2)) v from orders) cross join (values (1), (2)) k(n)""",
+from (select *, cast(o_totalprice as decimal(18,2)) v from orders) cross join (values (1), (2)) k(n)"""
+_SETTLEMENT_COLUMNS = (
+    "cnpj",
+    "nome_prestador",
+    "numero_processo",
+    "processo_origem",
+    "processo_recurso",
+    "competencia_tms",
+    "data_fechamento",
+    "valor_informado",
+    "valor_glosado_producao",
+    "nr",
+    "nr_origem",
+    "valor_protocolo",
+    "valor_glosado_protocolo",
+    "valor_aprovado_protocolo",
+    "pagina_pdf",
 )
+
+
+@query("settlement_tables", _SETTLEMENT_SQL)
 def _settlement(f):
     rows, _ = E.parse_settlements(_settlement_pages(f))
-    return rows.select(
-        "cnpj",
-        "nome_prestador",
-        "numero_processo",
-        "processo_origem",
-        "processo_recurso",
-        "competencia_tms",
-        "data_fechamento",
-        "valor_informado",
-        "valor_glosado_producao",
-        "nr",
-        "nr_origem",
-        "valor_protocolo",
-        "valor_glosado_protocolo",
-        "valor_aprovado_protocolo",
-        "pagina_pdf",
-    )
+    return rows.select(*_SETTLEMENT_COLUMNS)
 
 
-@query(
-    "legacy_settlement",
-    """select '01234567890123' cnpj, 'HOSPITAL ' || o_custkey nome_prestador, strftime(o_orderdate, '%m/%Y') competencia_tms, '1/2025' competencia_producao, cast(o_orderdate as date) data_fechamento,
+_LEGACY_SQL = """select '01234567890123' cnpj, 'HOSPITAL ' || o_custkey nome_prestador, strftime(o_orderdate, '%m/%Y') competencia_tms, '1/2025' competencia_producao, cast(o_orderdate as date) data_fechamento,
  cast(v + 100 as decimal(18,2)) valor_informado, v valor_aprovado_producao, cast(case when o_orderstatus = 'F' then 7.5 else 100 end as decimal(18,2)) valor_glosado_producao from (select *, cast(o_totalprice as decimal(18,2)) v from orders)
-where o_orderstatus <> 'P'""",
-)
-def _legacy_settlement(f):
+where o_orderstatus <> 'P'"""
+
+
+def _legacy_pages(f: Frames):
     informed, approved = brl("cast(o_totalprice + 100 as decimal(18,2))"), brl("cast(o_totalprice as decimal(18,2))")
     text = (
         "concat('Resumo Fechamento do Processo\\n', date_format(o_orderdate, 'yyyyMM'), '77 1/2025 1234567890123 HOSPITAL ', o_custkey, ' 01/02/2025 3 4 10,00\\n',"
         f" case when o_orderstatus = 'P' then '' else concat('TOTAL GERAL 3 ', {informed}, ' 1,00 ', {approved}, '\\n') end, 'Data - ', date_format(o_orderdate, 'dd/MM/yyyy'),"
         " case when o_orderstatus = 'F' then ' GLOSA: R$ 7,50' else '' end)"
     )
-    pages = f.t("orders").selectExpr(
+    return f.t("orders").selectExpr(
         "concat('P', 100000 + o_orderkey, '/2025') as numero_processo",
         "concat('D', o_orderkey) as documento_id",
         "'resumo.pdf' as documento_nome",
@@ -444,7 +534,39 @@ def _legacy_settlement(f):
         "cast(array() as array<array<array<string>>>) as tables",
         f"{text} as text",
     )
-    rows, _ = E.parse_settlements(pages)
+
+
+def _order_key():
+    return F.substring("documento_id", 2, 20).cast("bigint")
+
+
+def _mixed_settlements(f: Frames):
+    """Tables for two documents of three, older text for two of three, and a broken value in the text of every tenth."""
+    tables, legacy = _settlement_pages(f), _legacy_pages(f)
+    broken = legacy.withColumn("text", F.when(_order_key() % 10 == 7, F.regexp_replace("text", "TOTAL GERAL 3 [^ ]+", "TOTAL GERAL 3 1,2,3")).otherwise(F.col("text")))
+    return E.parse_settlements(tables.filter(_order_key() % 3 < 2).unionByName(broken.filter(_order_key() % 3 > 0)))
+
+
+@query(
+    "settlement_layouts",
+    """select 'D' || o_orderkey documento_id, k.n || o_orderkey nr, cast(o_totalprice as decimal(18,2)) valor_informado, cast(k.n as bigint) pagina_pdf from orders cross join (values (1), (2)) k(n) where o_orderkey % 3 < 2
+union all select 'D' || o_orderkey, null, cast(cast(o_totalprice as decimal(18,2)) + 100 as decimal(18,2)), 1 from orders where o_orderkey % 3 = 2 and o_orderstatus <> 'P' and o_orderkey % 10 <> 7""",
+)
+def _settlement_layouts(f):
+    return _mixed_settlements(f)[0].select("documento_id", "nr", "valor_informado", "pagina_pdf")
+
+
+@query(
+    "settlement_rejects",
+    "select 'P' || (100000 + o_orderkey) || '/2025' processo_origem, 'D' || o_orderkey documento_id from orders where o_orderkey % 3 = 2 and o_orderstatus <> 'P' and o_orderkey % 10 = 7",
+)
+def _settlement_rejects(f):
+    return _mixed_settlements(f)[1].select("processo_origem", "documento_id")
+
+
+@query("legacy_settlement", _LEGACY_SQL)
+def _legacy_settlement(f):
+    rows, _ = E.parse_settlements(_legacy_pages(f))
     return rows.select(
         "cnpj",
         "nome_prestador",

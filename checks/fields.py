@@ -131,17 +131,28 @@ def _months(f):
 
 @query(
     "surrogate_ids",
-    """select n_nationkey, md5(concat_ws(chr(31), cast(n_nationkey as varchar), n_name, coalesce(cast(nullif(n_regionkey, 0) as varchar), chr(0)))) chave,
- sha256('P' || n_nationkey || '/2024|' || upper(n_name)) id_status from nation""",
+    """select c_custkey, md5(concat_ws(chr(31), cast(c_custkey as varchar), c_mktsegment, coalesce(cast(nullif(c_nationkey, 0) as varchar), chr(0)))) chave,
+ sha256('P' || c_custkey || '/2024|' || upper(c_mktsegment)) id_status from customer""",
 )
 def _surrogate(f):
-    nation = f.t("nation").withColumn("regiao", F.nullif(F.col("n_regionkey"), F.lit(0)))
-    number = F.concat(F.lit("P"), F.col("n_nationkey").cast("string"), F.lit("/2024"))
-    return nation.select(
-        "n_nationkey", I.row_digest(["n_nationkey", "n_name", "regiao"]).alias("chave"), I.status_id(number, F.lower("n_name")).alias("id_status")
+    rows = f.t("customer").withColumn("pais", F.nullif(F.col("c_nationkey"), F.lit(0)))
+    number = F.concat(F.lit("P"), F.col("c_custkey").cast("string"), F.lit("/2024"))
+    return rows.select(
+        "c_custkey", I.row_digest(["c_custkey", "c_mktsegment", "pais"]).alias("chave"), I.status_id(number, F.lower("c_mktsegment")).alias("id_status")
     )
 
 
+@query(
+    "fingerprints",
+    """select o_orderkey, sha256('{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderpriority":' ||
+ case when o_orderkey % 3 = 0 then 'null' else '"' || o_orderpriority || '"' end || ',"o_orderstatus":"' || o_orderstatus || '"}') impressao from orders""",
+)
+def _fingerprints(f):
+    """Keys sorted, whatever the order of the columns; a null is part of the print."""
+    rows = f.t("orders").withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderpriority")))
+    return rows.select("o_orderkey", I.fingerprint(["o_orderstatus", "o_orderpriority", "o_orderkey", "o_custkey"]).alias("impressao"))
+
+
 @query(
     "occurrence_ids",
     """select fp, n ocorrencia, sha256(fp || ':' || n) id_registro from (
@@ -154,9 +165,9 @@ def _occurrences(f):
     lines = f.t("lineitem").withColumn("fp", F.sha2(I.canonical_text(["l_returnflag", "l_linestatus", month]), 256))
     # Blocks follow the first order column, so a print that covers a third of the rows is
     # numbered in many tasks.
-    blocks = lines.withColumn("_bloco", F.expr("l_orderkey div 1000"))
+    blocks = lines.withColumn("_bloco", F.expr("l_orderkey div 1000")).withColumn("_faixa", F.expr("_bloco div 64"))
     order = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
-    numbered = running_number(blocks, ["fp"], order, "_bloco", "ocorrencia")
+    numbered = running_number(blocks, ["fp"], order, "_bloco", "ocorrencia", outer="_faixa")
     return numbered.select("fp", F.col("ocorrencia").cast("bigint").alias("ocorrencia"), I.occurrence_id("fp", "ocorrencia").alias("id_registro"))
 
 

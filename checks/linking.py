@@ -329,8 +329,57 @@ def _items_mart(f):
     )
 
 
+_ITEMS_MART_SQL = """select md5(i.id_item_relatorio || '|' || coalesce(l.id_registro, '')) id_registro, i.numero_processo, i.status_processo, i.cd_remessa, i.conta
+from report_items i left join linked l on upper(trim(l.numero_processo)) = i.processo and l.cd_remessa = i.cd_remessa
+  and l.conta = i.conta and l.cd_lancamento = i.cd_lancamento"""
+_UNLINKED_SQL = """select d.id_registro from denials d left join remittances m on m.numero_processo = d.numero_processo and m.competencia_producao = d.competencia_producao
+  and m.valor_protocolo = d.valor_protocolo_cogestao and m.numero_protocolo = upper(trim(d.numero_protocolo))
+where not exists (select 1 from resolved r where r.id_registro = d.id_registro)"""
+#: Model, its rows in SQL, columns that are never null, columns that are unique.
+_MODEL_TESTS = (
+    ("report_accounts", "accounts", "id_registro numero_processo cd_remessa conta", "id_registro"),
+    ("report_items", "report_items", "id_item_relatorio numero_processo cd_remessa conta", "id_item_relatorio"),
+    ("items_mart", f"({_ITEMS_MART_SQL})", "id_registro numero_processo status_processo cd_remessa conta", "id_registro"),
+    ("remittances", "remittances", "numero_processo cd_remessa", ""),
+    ("resolved", "resolved", "id_registro", "id_registro"),
+    ("linked_mart", "linked", "id_registro", "id_registro"),
+    ("unlinked_mart", f"({_UNLINKED_SQL})", "id_registro", "id_registro"),
+)
+_TESTS_SQL = " union all ".join(
+    f"select '{model}' modelo, '{c}' coluna, '{test}' teste, "
+    + (f"count(*) filter ({c} is null)" if test == "not_null" else f"(select count(*) from (select {c} from {rows} group by 1 having {c} is not null and count(*) > 1))")
+    + (f" falhas from {rows}" if test == "not_null" else " falhas")
+    for model, rows, filled, unique in _MODEL_TESTS
+    for test, columns in (("not_null", filled), ("unique", unique))
+    for c in columns.split()
+)
+
+
 @query(
-    "contracts",
+    "single_month",
+    sql(
+        """select r.id_registro, coalesce(r.competencia, case when m.a = m.b then m.a end) competencia from (
+  select id_registro, numero_processo, case when l_orderkey % 3 > 0 then competencia end competencia from raw_reports) r
+join (select numero_processo, min(case when l_orderkey % 3 > 0 then competencia end) a, max(case when l_orderkey % 3 > 0 then competencia end) b from raw_reports group by 1) m
+ using (numero_processo)""",
+        "raw_reports",
+    ),
+)
+def _single_month(f):
+    """Report rows of every third order lose their month and take the only one of their process."""
+    order = F.substring("documento_id", 2, 20).cast("bigint")
+    reports = f.reports().withColumn("competencia", F.when(order % 3 > 0, F.col("competencia")))
+    return U.fill_single_month(reports).select("id_registro", "competencia")
+
+
+@query("contracts", sql(f"select * from ({_TESTS_SQL})", "linked", "report_items", "accounts", "remittances"))
+def _model_tests(f):
+    """Results of all model tests of a run, which were taken before its models were published."""
+    return _run(f)[1]
+
+
+@query(
+    "contract_failures",
     sql(
         """select 'linked_mart' modelo, 'id_registro' coluna, 'not_null' teste, count(*) filter (where id_registro is null) falhas from linked
 union all select 'linked_mart', 'cd_lancamento', 'not_null', count(*) filter (where cd_lancamento is null) from linked
@@ -623,6 +672,36 @@ def _chain(f):
     )
 
 
+@query(
+    "track",
+    _register_sql(
+        """select t.id_registro, t.criterio, c.processo, c.cd_remessa, c.conta, c.cd_lancamento, c.motivo motivo_glosa, t.novo from (
+  select g.id_registro, g.criterio, b.chave, true novo from linked g
+  left join links l on l.processo = upper(trim(g.numero_processo)) and l.cd_remessa = g.cd_remessa
+  join next_register b on b.processo = upper(trim(g.numero_processo)) and b.cd_remessa = g.cd_remessa and b.rem_id is not distinct from l.rem_id
+   and b.conta = g.conta and b.cd_lancamento is not distinct from g.cd_lancamento and b.motivo is not distinct from nullif(trim(g.codigo_glosa), '') and b.ativo = 'true'
+  qualify row_number() over (partition by g.id_registro order by b.dt_recurso is not null, b.ordem) = 1
+  union all select t.id_registro, 'antigo', cast(t.registro_glosa_id as varchar), false from tracking t
+  where t.id_registro not in (select g.id_registro from linked g
+   left join links l on l.processo = upper(trim(g.numero_processo)) and l.cd_remessa = g.cd_remessa
+   join next_register b on b.processo = upper(trim(g.numero_processo)) and b.cd_remessa = g.cd_remessa and b.rem_id is not distinct from l.rem_id
+    and b.conta = g.conta and b.cd_lancamento is not distinct from g.cd_lancamento and b.motivo is not distinct from nullif(trim(g.codigo_glosa), '') and b.ativo = 'true')) t
+ join next_register c on c.chave = t.chave"""
+    ).replace(
+        " select t.id_registro, t.criterio",
+        """, next_register as materialized (select cast(id as varchar) chave, id ordem, processo, cd_remessa, conta, cd_lancamento, motivo, rem_id, dt_recurso, ativo from cleaned
+ union all select 'novo' || row_number() over (), 9000000000000000000, processo, cd_remessa, conta, cd_lancamento, motivo, rem_id, null, 'true' from fresh) select t.id_registro, t.criterio""",
+        1,
+    ),
+)
+def _tracking(f):
+    """The tracking table after the run: new and moved rows, and those of denials that were not seen."""
+    register, tracking, _ = G.materialize_denials(*_register_frames(f), run_ts())
+    record = register.select("id", T.upper_trim("processo_controle_fatura_gab").alias("processo"), "cd_remessa", "conta", "cd_lancamento", "motivo_glosa")
+    seen = tracking.select("id_registro", F.col("registro_glosa_id").alias("id"), F.col(_CRITERION).alias("criterio"), F.col("data_importacao").isNotNull().alias("novo"))
+    return seen.join(record, "id").drop("id")
+
+
 @query(
     "register_counts",
     _register_sql(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.frames import Frames, run_ts
@@ -9,9 +11,12 @@ from checks.fields import _IDENTITY_FIELDS, _IDENTITY_SQL
 from checks.registry import query
 from claimweave.functions import numbers as N
 from claimweave.operators.ordered import running_number
+from claimweave.plans import arguments as A
 from claimweave.plans import incremental as J
 from claimweave.plans import issuance as S
 from claimweave.schemas import PROCESS_HISTORY
+from claimweave.session import shared_folder
+from claimweave.sources.tables import append_events, append_ledger, read_ledger
 
 
 @query(
@@ -402,7 +407,12 @@ def _workflow_outcomes(f):
   else 'Falha na emissao. dag_run_id=r; erro=erro ' || repeat('x', o_orderkey % 2000) end, 1, 500) observacao from orders""",
 )
 def _events(f):
-    return S.outcome_events(_issues(f), _outcomes(f), "r")
+    """Appended in two calls to a table that does not exist before, and read back."""
+    path = f"{shared_folder(f.spark)}/eventos-{uuid.uuid4().hex}"
+    events = S.outcome_events(_issues(f), _outcomes(f), "r")
+    append_events(events.filter("tipo_acao = 'NFSE_EMITIDA'"), path)
+    append_events(events.filter("tipo_acao <> 'NFSE_EMITIDA'"), path)
+    return f.spark.read.parquet(path)
 
 
 @query(
@@ -433,21 +443,121 @@ def _artifacts(f):
     """select c_custkey + 2 row_number from customer where c_custkey % 50 <> 0 and not (c_acctbal > 5000 and c_mktsegment <> 'BUILDING')""",
 )
 def _ledger(f):
-    """Ledger lines rendered from the request rows: successes, failures and broken lines."""
+    """A ledger file of appended successes and failures with broken lines in between, read back."""
+    path = f"{shared_folder(f.spark)}/livro-{uuid.uuid4().hex}"
     rows = S.normalize_requests(_sheet(f))
     hashed = rows.withColumn("h", S.request_hash(rows)).select("row_number", "h")
     keyed = hashed.join(f.t("customer"), F.col("row_number") == F.col("c_custkey") + 2)
-    line = F.when(F.col("c_acctbal") <= 5000, F.concat(F.lit("{broken "), "h")).otherwise(
-        F.to_json(
-            F.struct(
-                F.when(F.col("c_mktsegment") == "BUILDING", "failure").otherwise("success").alias("status"),
-                F.col("h").alias("row_hash"),
-            )
-        )
+    status = F.when(F.col("c_mktsegment") == "BUILDING", "failure").otherwise("success").alias("status")
+    append_ledger(keyed.filter("c_acctbal > 5000").select(status, F.col("h").alias("row_hash")), path)
+    keyed.filter("c_acctbal <= 5000").select(F.concat(F.lit('{"status": "success", "row_hash": '), "h")).write.mode("append").text(path)
+    return S.unissued(rows, read_ledger(f.spark, path)).select(F.col("row_number").cast("bigint").alias("row_number"))
+
+
+@query(
+    "row_selection",
+    """select 'todas' modo, c_custkey + 2 row_number from customer where c_custkey % 50 <> 0
+union all select 'linha', c_custkey + 2 from customer where c_custkey = 15
+union all select 'limite', r from (select c_custkey + 2 r from customer where c_custkey % 50 <> 0 order by 1 limit 10)""",
+)
+def _selection(f):
+    """All rows of the sheet, one row by its number, and the first ten."""
+    rows = S.normalize_requests(_sheet(f))
+    modes = {"todas": {"all_rows": True}, "linha": {"row_number": 17}, "limite": {"all_rows": True, "limit": 10}}
+    parts = [S.select_requests(rows, **how).select(F.lit(mode).alias("modo"), F.col("row_number").cast("bigint").alias("row_number")) for mode, how in modes.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "artifact_upsert",
+    """select doc_id emissao_nfse_id, case when doc_id % 3 = 0 then 'nfse-' || (n_chars + 1) else 'nfse-' || n_chars end || '.pdf' nome_arquivo, false rejeitado
+ from documents where lang <> 'de' or doc_id % 3 = 0
+union all select doc_id, cast(n_chars as varchar), true from documents where lang = 'de'""",
+)
+def _artifact_upsert(f):
+    """A first load, then a second one that replaces every third file; what is no document is rejected."""
+    docs = f.t("documents")
+
+    def files(rows, more: int, head):
+        content = F.encode(F.concat(head, "text"), "UTF-8")
+        return rows.select(F.col("doc_id").alias("emissao_nfse_id"), (F.col("n_chars") + more).cast("string").alias("numero_nfse"), content.alias("content"))
+
+    first, rejects = S.artifact_rows(files(docs, 0, F.when(F.col("lang") == "de", "<html>").otherwise("%PDF")))
+    second, _ = S.artifact_rows(files(docs.filter("doc_id % 3 = 0"), 1, F.lit("%PDF")))
+    kept = S.upsert_artifacts(first, second).select("emissao_nfse_id", "nome_arquivo", F.lit(False).alias("rejeitado"))
+    return kept.unionByName(rejects.select("emissao_nfse_id", F.col("numero_nfse").alias("nome_arquivo"), F.lit(True).alias("rejeitado")))
+
+
+@query(
+    "issuer_choice",
+    """select o_orderkey emissao_id, case when o_orderkey % 3 = 0 then '12345678000195' when o_orderkey % 5 = 0 then '98765432000110' else '11222333000181' end cnpj,
+ o_orderkey % 15 = 0 conflito_cnpj from orders""",
+)
+def _issuer(f):
+    """The table's issuer, the payload's or the default, and where the first two differ."""
+    rows = f.t("orders").selectExpr(
+        "o_orderkey as emissao_id",
+        "case when o_orderkey % 3 = 0 then '12.345.678/0001-95' end as cnpj_emissor",
+        "case when o_orderkey % 5 = 0 then '98765432000110' when o_orderkey % 3 = 0 then '12345678000195' end as cnpj_payload",
+    )
+    return S.choose_issuer(rows, default="11222333000181").select("emissao_id", "cnpj", "conflito_cnpj")
+
+
+_RUN_ERRORS = (
+    "cnpj e numero_nfse sao informados juntos",
+    "uma nota nao se combina com competencia ou periodo",
+    "cnpj tem 14 digitos",
+    "numero_nfse tem de 1 a 15 digitos",
+    None,
+    None,
+    "competencia invalida",
+    "inicio e fim sao informados juntos",
+    "inicio e fim tem o mesmo formato",
+    None,
+    "fim nao vem antes de inicio",
+    None,
+)
+
+
+@query(
+    "argument_rules",
+    """select o_orderkey id, case o_orderkey % 12 """
+    + " ".join(f"when {i} then '{e}'" for i, e in enumerate(_RUN_ERRORS) if e)
+    + """ end erro, cast(case o_orderkey % 12 when 5 then 1 when 11 then 1 when 9 then case when cast(o_orderdate as date) > date '1997-03-10' then 0 else
+  len(generate_series(cast(date_trunc('month', o_orderdate) as timestamp), cast(least(cast(o_orderdate as date) + cast(o_custkey % 60 as int), date '1997-03-10') as timestamp), interval 1 month)) end
+ else 0 end as bigint) periodos from orders""",
+)
+def _arguments(f):
+    cnpj, day = "'12.345.678/0001-95'", "date_format(o_orderdate, 'dd/MM/yyyy')"
+    cases = {
+        "cnpj": {0: cnpj, 1: cnpj, 2: "'12.345.678/0001-9'", 3: cnpj, 4: cnpj},
+        "numero_nfse": {1: "'7'", 2: "'7'", 3: "'x1'", 4: "cast(o_orderkey as string)"},
+        "competencia": {1: "'06/2026'", 5: "'Junho, 2026'", 6: "'2026/06'", 11: "' '"},
+        "inicio": {7: day, 8: day, 9: day, 10: "'07/2026'"},
+        "fim": {8: "'07/2026'", 9: "date_format(date_add(cast(o_orderdate as date), cast(o_custkey % 60 as int)), 'yyyy-MM-dd')", 10: "'2026-06'"},
+    }
+    columns = [f"case o_orderkey % 12 {' '.join(f'when {k} then {v}' for k, v in own.items())} end as {name}" for name, own in cases.items()]
+    checked = A.validate_extractions(f.t("orders").selectExpr("o_orderkey as id", *columns))
+    periods = A.extraction_periods(checked, F.lit("1997-03-10").cast("date")).groupBy("id").agg(F.count("*").alias("periodos"))
+    return checked.join(periods, "id", "left").select("id", "erro", F.coalesce("periodos", F.lit(0)).cast("bigint").alias("periodos"))
+
+
+@query(
+    "batch_arguments",
+    """select o_orderkey id, case o_orderkey % 9 when 0 then 'lote_id e um inteiro positivo' when 1 then 'solicitacao_ids nao e vazio' when 2 then 'solicitacao_ids tem inteiros positivos'
+ when 3 then 'solicitacao_ids nao se repetem' when 4 then 'cnpj_por_solicitacao tem um id invalido' when 5 then 'cnpj_por_solicitacao tem um id fora do lote'
+ when 6 then 'cnpj_por_solicitacao tem um cnpj invalido' when 7 then 'cnpj_por_solicitacao informa todos os itens' end erro from orders""",
+)
+def _batch_arguments(f):
+    good = "'12.345.678/0001-95'"
+    runs = f.t("orders").selectExpr(
+        "o_orderkey as id",
+        "case o_orderkey % 9 when 0 then 0L else o_custkey + 1 end as lote_id",
+        "case o_orderkey % 9 when 1 then cast(array() as array<bigint>) when 2 then array(1L, -1L) when 3 then array(4L, 4L) else array(o_orderkey, o_orderkey + 1) end as solicitacao_ids",
+        f"case o_orderkey % 9 when 4 then map('x', {good}) when 5 then map('0', {good}) when 6 then map(cast(o_orderkey as string), '12')"
+        f" when 7 then map(cast(o_orderkey as string), {good}) when 8 then map(cast(o_orderkey as string), {good}, cast(o_orderkey + 1 as string), {good}) end as cnpj_por_solicitacao",
     )
-    parsed = keyed.select(F.from_json(line, "status string, row_hash string", {"mode": "PERMISSIVE"}).alias("r"))
-    ledger = parsed.select("r.*")
-    return S.unissued(rows, ledger).select(F.col("row_number").cast("bigint").alias("row_number"))
+    return A.validate_batches(runs).select("id", "erro")
 
 
 __all__ = ["N"]
