@@ -147,3 +147,25 @@ def test_hot_blank_card_forms_no_pairs(spark):
     empty = _items(spark, lines).limit(0).withColumn("numero_processo", F.lit("P"))
     got = C.rule_results(spark.createDataFrame(denials, DENIAL), empty, _items(spark, lines), m).filter("prioridade = 22")
     assert got.filter("seguro and not item_unico").count() == 2000
+
+
+def test_rule_results_aggregate_by_hash(spark):
+    """Only numbers are reduced, so no aggregation has to sort."""
+    lines = [(1, 10, i, "", "", "S1", "", None, dt.date(2026, 1, 5), None, Decimal(1)) for i in range(5)]
+    denials = [("d", "P1/2025", "01/2026", "A", Decimal(5), "ASSOCIADO", dt.date(2026, 1, 9), "", "S1", "x", Decimal(1))]
+    m = spark.createDataFrame([("P1/2025", "01/2026", "A", Decimal(5), 1)], "numero_processo string, competencia_producao string, numero_protocolo string, valor_protocolo decimal(18,2), cd_remessa bigint")
+    report = _items(spark, lines).withColumn("numero_processo", F.lit("P"))
+    results = C.rule_results(spark.createDataFrame(denials, DENIAL), report, _items(spark, lines), m)
+    plan = results._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_first_line_of_equal_and_missing_entries(spark):
+    """Lines are ordered by entry, missing entries last, then by their content; negative entries come first."""
+    lines = [(1, 10, e, "", "", "S1", "", None, dt.date(2026, 1, 5), None, Decimal(v)) for e, v in ((None, 1), (7, 2), (7, 3), (-4, 4), (2**62, 5))]
+    frame = _items(spark, lines).withColumn("_linha", C.line_order())
+    ordered = [r["cd_lancamento"] for r in frame.orderBy("_linha").collect()]
+    assert ordered == [-4, 7, 7, 2**62, None] and frame.select("_linha").distinct().count() == 5
+    entries = [r["valor_item"] for r in frame.filter("cd_lancamento = 7").orderBy("_linha").collect()]
+    by_digest = [r["valor_item"] for r in frame.filter("cd_lancamento = 7").orderBy(C.item_digest()).collect()]
+    assert entries == by_digest

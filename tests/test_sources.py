@@ -3,6 +3,8 @@
 import datetime as dt
 import io
 import random
+import sys
+import unicodedata
 import zipfile
 from decimal import Decimal
 from xml.etree import ElementTree
@@ -10,7 +12,9 @@ from xml.etree import ElementTree
 from pyspark.sql import functions as F
 
 from claimweave import fixed_values as fv
+from claimweave.functions import text as T
 from claimweave.sources import cards, invoices, statements
+from claimweave.sources.pages import folded_cells, folded_parts
 from claimweave.sources.tables import SnapshotStore, append_ledger, read_ledger
 from claimweave.streaming.ingest import ingest_invoices, ingest_statements
 
@@ -173,3 +177,24 @@ def test_one_walk_equals_following_each_path(spark):
         root = ElementTree.fromstring(content)
         for n, node in zip(got[name], invoices._nodes_of(root), strict=True):
             assert {c: n[c] for c in invoices.MAPPED} == _by_paths(node), name
+
+
+def _spread_over_cells(text):
+    """Every text through the joined folding of tables, and through the folding of a list."""
+    return [[[text, "A"], ["", text]], [], [["É", text]]]
+
+
+def test_folding_joined_cells_equals_folding_each(spark):
+    texts = ["Ação", "ﬁm", "½ e ß", "한글", "ＦＵＬＬ　ｗ", "Σίσυφος", "a\\b\"c", "", "linha\nnova", "ﷺ", "é́"]
+    frame = spark.createDataFrame([(t, _spread_over_cells(t)) for t in texts], "t string, c array<array<array<string>>>")
+    one = frame.select("t", T.fold("t").alias("f"), folded_cells(F.col("c")).alias("c"), folded_parts(F.array(F.lit("X"), "t")).alias("p"))
+    for r in one.collect():
+        assert r["c"] == [[[r["f"], "a"], ["", r["f"]]], [], [["e", r["f"]]]] and r["p"] == ["x", r["f"]], r["t"]
+    empty = spark.sql("select cast(array() as array<array<array<string>>>) as c, cast(null as array<string>) as n")
+    assert empty.select(folded_cells(F.col("c")).alias("x")).first()["x"] == []
+
+
+def test_accent_tables_cover_every_code_point():
+    """The blocks that are looked through hold every character with a compatibility form."""
+    outside = [c for c in range(0x80, sys.maxunicode + 1) if unicodedata.decomposition(chr(c)) and not any(c in block for block in T._DECOMPOSED)]
+    assert outside == []
