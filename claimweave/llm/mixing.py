@@ -73,8 +73,13 @@ class Mix:
         self.block, self.shard_blocks, self.seed = block, shard_blocks, seed
         self.scratch = Scratch(docs.sparkSession, "mix")
         size = F.coalesce(F.regexp_count(quoted(text), F.lit(_WORD)), F.lit(0)).cast("long")
-        sized = self.scratch.cut(docs.select(quoted(doc_id).alias("doc_id"), quoted(source).alias("source"), size.alias("size"), *(quoted(c).alias(f"kept_{c}") for c in keep)))
+        kept = [quoted(c).alias(f"kept_{c}") for c in keep]
+        # kept columns are written once under a row number and joined again at the end; what they hold only breaks ties
+        marks = [F.monotonically_increasing_id().alias("row"), F.xxhash64(*(quoted(c) for c in keep)).alias("print")] if keep else []
+        sized = self.scratch.cut(docs.select(quoted(doc_id).alias("doc_id"), quoted(source).alias("source"), size.alias("size"), *kept, *marks))
         self.kept = [c for c in sized.columns if c.startswith("kept_")]
+        self.rows = sized.select("row", *self.kept) if keep else None
+        sized = sized.drop(*self.kept)
         n_rows = sized.count()
         sources = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
         whole = F.round("target").cast("long")
@@ -86,7 +91,6 @@ class Mix:
         self.sources = self.scratch.cut(sources.withColumn("first_slot", F.coalesce(F.sum("n_slots").over(before), F.lit(0).cast("long"))).coalesce(1))
         self.n_slots = self.sources.agg(F.sum("n_slots")).first()[0] or 0
         placed = self._placed(sized, n_rows)
-        # written where columns are kept, so that the pieces read none of them
         self.documents = self.scratch.cut(placed) if self.kept else placed
 
     def _placed(self, sized: DataFrame, n_rows: int) -> DataFrame:
@@ -97,7 +101,7 @@ class Mix:
         sums = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("words"))
         before = Window.partitionBy("sid").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
         sums = sums.select("sid", "bucket", F.coalesce(F.sum("words").over(before), F.lit(0).cast("long")).alias("base"))
-        inside = Window.partitionBy("sid", "bucket").orderBy("place", "doc_id", "size", *self.kept).rowsBetween(Window.unboundedPreceding, -1)
+        inside = Window.partitionBy("sid", "bucket").orderBy("place", "doc_id", "size", *(["print", "row"] if self.kept else [])).rowsBetween(Window.unboundedPreceding, -1)
         begin = F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long"))
         return rows.withColumn("inner", begin).join(sums, ["sid", "bucket"]).withColumn("start", F.col("base") + F.col("inner")).drop("place", "bucket", "base", "inner")
 
@@ -130,10 +134,9 @@ class Mix:
         """
         draws = self.slots().groupBy("sid", "block", "length").agg(F.count("*").alias("times"))
         # the planner takes exploded rows for as few as their parents; either side grows with the data
-        joined = self.pieces().drop(*self.kept).hint("merge").join(draws, ["sid", "block"], "left")
+        joined = self.pieces().hint("merge").join(draws, ["sid", "block"], "left")
         words = F.greatest(F.least(F.col("high"), F.col("length")) - F.col("low"), F.lit(0).cast("long")) * F.col("times")
-        names = ["doc_id", "source", "size", *self.kept, "source_size", "target"]
-        small = [c for c in names if c not in self.kept]
+        names = ["doc_id", "source", "size", "source_size", "target", *(["row"] if self.kept else [])]
         sums = [F.coalesce(F.sum(words), F.lit(0).cast("long")).alias("taken")]
         more = ["taken"]
         if spans:
@@ -141,16 +144,20 @@ class Mix:
             part = F.struct(begin.alias("from"), (begin + F.least(F.col("high"), F.col("length")) - F.col("low")).alias("to"))
             sums.append(F.collect_list(F.when(words > 0, part)).alias("spans"))  # two a block at most: a text's own length bounds them
             more.append("spans")
-        some = joined.groupBy("sid", "start", *small).agg(*sums)
+        # a document with words has its own place in its source's stream
+        some = joined.groupBy("sid", "start", *names).agg(*sums)
         if spans:
             some = some.withColumn("spans", _longest("spans"))
-        if self.kept:  # a document with words has its own place in its source's stream
-            some = some.select("sid", "start", *more).join(self.documents.where("size > 0"), ["sid", "start"])
         some = some.select(*names, *more)
         nothing = [F.lit(0).cast("long").alias("taken")]
         if spans:
             nothing.append(F.array().cast(some.schema["spans"].dataType).alias("spans"))
-        return some.unionByName(self.documents.where("size = 0").select(*names, *nothing))
+        every = some.unionByName(self.documents.where("size = 0").select(*names, *nothing))
+        return self.with_kept(every) if self.kept else every
+
+    def with_kept(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the kept columns in place of the row number."""
+        return rows.join(self.rows, "row").drop("row", "print")
 
 
 def _longest(spans: str) -> Column:
@@ -172,7 +179,7 @@ def mixed_blocks(docs: DataFrame, text: str = "text", **settings) -> DataFrame:
     mix = Mix(docs, text=text, keep=(text,), **settings)
     body = F.col(f"kept_{text}")
     words = F.slice(F.regexp_extract_all(body, F.lit(_WORD), 0), (F.col("block") * mix.block + F.col("low") - F.col("start") + 1).cast("int"), (F.col("high") - F.col("low")).cast("int"))
-    parts = mix.pieces().select("sid", "block", "source", "low", words.alias("words"))
+    parts = mix.with_kept(mix.pieces()).select("sid", "block", "source", "low", words.alias("words"))
     rows = mix.slots().hint("merge").join(parts, ["sid", "block"]).where("low < length")
     gathered = rows.groupBy("shard", "place", "sid", "source", "length").agg(F.array_sort(F.collect_list(F.struct("low", "words"))).alias("parts"))
     flat = F.flatten(F.transform("parts", lambda p: p["words"]))
