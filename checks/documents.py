@@ -20,6 +20,7 @@ from claimweave.sources import payment_docs as Y
 from claimweave.sources import report_docs as R
 from claimweave.sources import settlement_docs as E
 from claimweave.sources import statements as S
+from claimweave.sources.pages import document_texts
 from claimweave.sources.tables import SnapshotStore
 from claimweave.streaming.ingest import merge_invoices
 
@@ -579,6 +580,36 @@ def _legacy_settlement(f):
     )
 
 
+@query(
+    "new_report_documents",
+    """select 'D' || o_orderkey documento_id, 'Relatorio_' || (o_custkey % 20) || '_' || o_orderkey || '.PDF' documento_nome from orders where o_orderkey % 4 = 1 and o_orderstatus <> 'F'""",
+)
+def _new_report_documents(f):
+    """Report files by their name that no loaded report row comes from."""
+    documents = f.t("orders").selectExpr(
+        "concat('D', o_orderkey) as documento_id",
+        "case o_orderkey % 4 when 1 then concat('Relatorio_', o_custkey % 20, '_', o_orderkey, '.PDF') when 2 then 'relatorio.pdf' else concat('Resumo ', o_orderkey) end as documento_nome",
+    )
+    loaded = f.t("orders").filter("o_orderstatus = 'F'").selectExpr("concat('D', o_orderkey) as documento_id", "1 as linha")
+    return P.new_report_documents(documents, loaded.unionByName(loaded))
+
+
+@query(
+    "document_texts",
+    """select 'D' || o_custkey documento_id, string_agg(case when o_orderkey % 3 = 0 then '' else o_orderpriority end, chr(10) order by o_orderkey) as "text" from orders group by o_custkey""",
+)
+def _document_texts(f):
+    """Pages of a document joined in their order; a page without text is an empty line."""
+    pages = f.t("orders").selectExpr(
+        "concat('P', o_custkey) as numero_processo",
+        "concat('D', o_custkey) as documento_id",
+        "'a.pdf' as documento_nome",
+        "o_orderkey as page",
+        "case when o_orderkey % 3 > 0 then o_orderpriority end as text",
+    )
+    return document_texts(pages).select("documento_id", "text")
+
+
 # --- payment documents ----------------------------------------------------
 
 

@@ -560,4 +560,41 @@ def _batch_arguments(f):
     return A.validate_batches(runs).select("id", "erro")
 
 
+@query(
+    "failed_batch",
+    f"""with i as (select o_orderkey id, o_custkey lote, {_ISSUE_STATUS} st, case when o_orderstatus = 'P' and o_orderpriority = '2-HIGH' then 'falha ' || o_orderkey end erro,
+  case when o_orderpriority = '2-HIGH' then 'NOVA' else 'EMISSAO_SOLICITADA' end fluxo from orders),
+h as (select *, lote = 1 and st = 'PROCESSANDO' caiu from i)
+select 'emissao' tabela, id, case when caiu then 'ERRO' else st end status, case when caiu then 'dag_run_id=r9; erro=caiu' else erro end erro from h
+union all select 'fluxo', id, case when caiu and fluxo = 'EMISSAO_SOLICITADA' then 'ERRO_EMISSAO' else fluxo end, null from h
+union all select 'lote', c_custkey, case when c_custkey = 1 and c_acctbal < 6000 then 'ERRO' when c_custkey = 1 then 'ERRO' when c_acctbal < 3000 then 'PENDENTE' when c_acctbal < 6000 then 'ERRO' else 'EMITIDA' end,
+ case when c_custkey = 1 then 'dag_run_id=r9; erro=caiu' else 'antigo' end from customer""",
+)
+def _failed_batch(f):
+    """A run of one batch breaks: its issues in work, their workflow rows and the batch become errors."""
+    batches = _batches(f).withColumn("status", F.when(F.col("id") == 1, "PENDENTE").otherwise(F.col("status")))
+    batches, issues, workflow = S.fail_batch(batches, _issues(f), _workflow(f), 1, "r9", "caiu")
+    parts = [issues.select(F.lit("emissao").alias("tabela"), "id", "status", "erro")]
+    parts.append(workflow.select(F.lit("fluxo").alias("tabela"), F.col("solicitacao_nota_id").alias("id"), "status", F.lit(None).cast("string").alias("erro")))
+    parts.append(batches.select(F.lit("lote").alias("tabela"), "id", "status", F.col("erro_disparo").alias("erro")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "invoice_names",
+    """select o_orderkey, rtrim(substr(o_orderkey || ' - Sala-' || o_custkey || ', ' || o_orderpriority || ' e ' ||
+ case when o_orderkey % 5 = 0 then repeat('Ana ', 80) || 'B' when o_orderkey % 7 = 0 then 'SEM INFORMACAO' else 'Ana-' || o_custkey end, 1, 230)) || '.pdf' nome from orders""",
+)
+def _invoice_names(f):
+    """Names of invoice files: unsafe characters, blanks, a blank patient and one that is too long."""
+    rows = f.t("orders").selectExpr(
+        "o_orderkey",
+        "cast(o_orderkey as string) as numero",
+        "concat('Sala/', o_custkey, ' .') as sala",
+        "o_orderpriority",
+        "case when o_orderkey % 5 = 0 then concat(repeat('Ana  ', 80), 'B') when o_orderkey % 7 = 0 then ' . ' else concat(' Ana\t', o_custkey) end as paciente",
+    )
+    return rows.select("o_orderkey", S.invoice_file_name("numero", "sala", "o_orderpriority", "paciente").alias("nome"))
+
+
 __all__ = ["N"]
