@@ -169,3 +169,19 @@ def test_first_line_of_equal_and_missing_entries(spark):
     entries = [r["valor_item"] for r in frame.filter("cd_lancamento = 7").orderBy("_linha").collect()]
     by_digest = [r["valor_item"] for r in frame.filter("cd_lancamento = 7").orderBy(C.item_digest()).collect()]
     assert entries == by_digest
+
+
+def test_nothing_is_published_after_a_failed_test(spark, tmp_path):
+    """Doubled denials break the uniqueness of the marts: the run stops before publication and leaves no files."""
+    from checks.frames import Frames, run_ts
+    from claimweave.api import run_linking
+    from claimweave.operators.contracts import ContractFailure
+    from claimweave.sources.tables import SnapshotStore
+
+    frames = Frames(spark, "/root/testdata/sf0.001")
+    inputs = frames.inputs()
+    store = SnapshotStore(spark, str(tmp_path))
+    with pytest.raises(ContractFailure) as stopped:
+        run_linking(store, {**inputs, "association": inputs["association"].unionByName(inputs["association"])}, run_ts())
+    assert {(t["modelo"], t["coluna"], t["teste"]) for t in stopped.value.failed} >= {("unlinked_mart", "id_registro", "unique"), ("linked_mart", "id_registro", "unique")}
+    assert store.versions() == {} and not list(tmp_path.rglob("*.parquet"))
