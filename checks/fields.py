@@ -111,7 +111,8 @@ def _account(f):
     "month_labels",
     """select o_orderkey, strftime(o_orderdate, '%Y-%m') ano_mes, strftime(o_orderdate, '%m/%Y') mes_ano, cast(date_trunc('month', o_orderdate) as date) mes,
  cast(o_orderdate as date) dia_extrato, cast(o_orderdate as date) dia_documento, cast(date_trunc('month', o_orderdate) as date) mes_nome,
- cast(date_trunc('month', o_orderdate) as date) mes_xml, cast(date_trunc('month', o_orderdate) as date) mes_documento from orders""",
+ cast(date_trunc('month', o_orderdate) as date) mes_xml, cast(date_trunc('month', o_orderdate) as date) mes_documento,
+ case when o_orderkey % 5 > 0 then cast(o_orderdate as date) end dia_pedido, case when o_orderkey % 5 > 0 then cast(date_trunc('month', o_orderdate) as date) end mes_referencia from orders""",
 )
 def _months(f):
     names = F.array(*[F.lit(x) for x in ("janeiro fevereiro março abril maio junho julho agosto setembro outubro novembro dezembro").split()])
@@ -126,6 +127,8 @@ def _months(f):
         D.parse_month(F.concat(F.initcap(F.get(names, F.month(day) - 1)), F.lit(", "), F.year(day).cast("string"))).alias("mes_nome"),
         D.parse_xml_month(F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss")).alias("mes_xml"),
         D.parse_document_month(F.concat(F.lit("comp "), F.date_format(day, "MM-yyyy"))).alias("mes_documento"),
+        D.parse_request_date(F.concat(F.lit(" "), F.date_format(day, "d/M/yyyy"), F.when(F.col("o_orderkey") % 5 == 0, "x").otherwise(""))).alias("dia_pedido"),
+        D.parse_reference(F.concat(F.when(F.col("o_orderkey") % 5 == 0, "1").otherwise(""), F.date_format(day, "MM/yyyy"))).alias("mes_referencia"),
     )
 
 

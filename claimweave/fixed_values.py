@@ -236,6 +236,21 @@ ERROR_TEXT_LIMIT = 1000
 EVENT_TEXT_LIMIT = 500
 ERROR_DIGEST_ITEMS = 5
 
+# --- spellings of dates and months (fixed values) ---
+DAY_MONTH_YEAR = r"\A(\d{1,2})/(\d{1,2})/(\d{4})\z"
+DAY_MONTH_SHORT_YEAR_2000 = r"\A(\d{1,2})/(\d{1,2})/([0-5]\d|6[0-8])\z"
+DAY_MONTH_SHORT_YEAR_1900 = r"\A(\d{1,2})/(\d{1,2})/(69|[7-9]\d)\z"
+YEAR_MONTH_DAY = r"\A(\d{4})-(\d{1,2})-(\d{1,2})\z"
+WHOLE_DATE = r"\A(\d{1,2}/\d{1,2}/\d{4}|\d{4}-\d{1,2}-\d{1,2})\z"
+MONTH_YEAR = r"\A(\d{1,2})/(\d{4})\z"
+YEAR_MONTH = r"\A(\d{4})-(\d{1,2})\z"
+NAMED_MONTH = r"\A([A-Za-zÀ-ÿ]+),?\s+(\d{4})\z"
+REFERENCE_MONTH = r"\A(0[1-9]|1[0-2])/(\d{4})\z"
+DOCUMENT_MONTH = r"\b(0?[1-9]|1[0-2])[/\-](\d{4})\b"
+XML_YEAR_MONTH = r"\b(\d{4})-(\d{1,2})(?:-\d{1,2})?\b"
+XML_MONTH_YEAR = r"\b(\d{1,2})/(\d{4})\b"
+XML_COMPACT_MONTH = r"\A(\d{4})(\d{2})(?:\d{2})?\z"
+
 # --- invoice XML: output column -> alternative element paths, in order ----
 INVOICE_NODE_TAGS = ("CompNfse", "Nfse", "InfNfse")
 _INF = "Nfse/InfNfse"

@@ -28,60 +28,60 @@ def _parts(c: Column, pattern: str, iso: str) -> Column:
 
 def parse_statement_date(c: Column | str) -> Column:
     """``dd/mm/yyyy``; blank, dash or anything else is null."""
-    return _parts(dash_to_null(c), r"\A(\d{1,2})/(\d{1,2})/(\d{4})\z", _DAY_MONTH_YEAR)
+    return _parts(dash_to_null(c), fv.DAY_MONTH_YEAR, _DAY_MONTH_YEAR)
 
 
 def parse_document_date(c: Column | str) -> Column:
     """Repeated slashes collapse; ``d/m/yyyy``, ``d/m/yy`` or ISO."""
     raw = F.regexp_replace(edge_trim(c), "/{2,}", "/")
     return F.coalesce(
-        _parts(raw, r"\A(\d{1,2})/(\d{1,2})/(\d{4})\z", _DAY_MONTH_YEAR),
-        _parts(raw, r"\A(\d{1,2})/(\d{1,2})/([0-5]\d|6[0-8])\z", "20" + _DAY_MONTH_YEAR),
-        _parts(raw, r"\A(\d{1,2})/(\d{1,2})/(69|[7-9]\d)\z", "19" + _DAY_MONTH_YEAR),
-        _parts(raw, r"\A(\d{4})-(\d{1,2})-(\d{1,2})\z", _YEAR_MONTH_DAY),
+        _parts(raw, fv.DAY_MONTH_YEAR, _DAY_MONTH_YEAR),
+        _parts(raw, fv.DAY_MONTH_SHORT_YEAR_2000, "20" + _DAY_MONTH_YEAR),
+        _parts(raw, fv.DAY_MONTH_SHORT_YEAR_1900, "19" + _DAY_MONTH_YEAR),
+        _parts(raw, fv.YEAR_MONTH_DAY, _YEAR_MONTH_DAY),
     )
 
 
 def parse_request_date(c: Column | str) -> Column:
     text = F.trim(_col(c))
     return F.coalesce(
-        _parts(text, r"\A(\d{1,2})/(\d{1,2})/(\d{4})\z", _DAY_MONTH_YEAR),
-        _parts(text, r"\A(\d{4})-(\d{1,2})-(\d{1,2})\z", _YEAR_MONTH_DAY),
+        _parts(text, fv.DAY_MONTH_YEAR, _DAY_MONTH_YEAR),
+        _parts(text, fv.YEAR_MONTH_DAY, _YEAR_MONTH_DAY),
     )
 
 
 def parse_month(c: Column | str) -> Column:
     """``mm/yyyy``, ``yyyy-mm`` or a Portuguese month name with a year."""
     text = F.trim(_col(c))
-    named = r"\A([A-Za-zÀ-ÿ]+),?\s+(\d{4})\z"
+    named = fv.NAMED_MONTH
     numbers = F.create_map(*[F.lit(x) for i, name in enumerate(fv.MONTH_NAMES, start=1) for x in (name, i)])
     month = F.try_element_at(numbers, F.lower(first_match(text, named, 1)))
     return F.coalesce(
-        _parts(text, r"\A(\d{1,2})/(\d{4})\z", _MONTH_YEAR),
-        _parts(text, r"\A(\d{4})-(\d{1,2})\z", _YEAR_MONTH),
+        _parts(text, fv.MONTH_YEAR, _MONTH_YEAR),
+        _parts(text, fv.YEAR_MONTH, _YEAR_MONTH),
         date_of(first_match(text, named, 2), month, F.lit("1")),
     )
 
 
 def parse_reference(c: Column | str) -> Column:
     """Strict ``mm/yyyy``."""
-    return _parts(F.trim(_col(c)), r"\A(0[1-9]|1[0-2])/(\d{4})\z", _MONTH_YEAR)
+    return _parts(F.trim(_col(c)), fv.REFERENCE_MONTH, _MONTH_YEAR)
 
 
 def parse_xml_month(c: Column | str) -> Column:
     """Month inside an ISO date, ``mm/yyyy`` or compact ``yyyymm[dd]`` value."""
     text = F.trim(_col(c))
     return F.coalesce(
-        _parts(text, r"\b(\d{4})-(\d{1,2})(?:-\d{1,2})?\b", _YEAR_MONTH),
-        _parts(text, r"\b(\d{1,2})/(\d{4})\b", _MONTH_YEAR),
-        _parts(text, r"\A(\d{4})(\d{2})(?:\d{2})?\z", _YEAR_MONTH),
+        _parts(text, fv.XML_YEAR_MONTH, _YEAR_MONTH),
+        _parts(text, fv.XML_MONTH_YEAR, _MONTH_YEAR),
+        _parts(text, fv.XML_COMPACT_MONTH, _YEAR_MONTH),
     )
 
 
 def parse_document_month(c: Column | str) -> Column:
     """``mm/yyyy`` or ``mm-yyyy`` anywhere, else the month of a document date."""
     return F.coalesce(
-        _parts(_col(c), r"\b(0?[1-9]|1[0-2])[/\-](\d{4})\b", _MONTH_YEAR),
+        _parts(_col(c), fv.DOCUMENT_MONTH, _MONTH_YEAR),
         F.trunc(parse_document_date(c), "month"),
     )
 
@@ -111,7 +111,7 @@ def month_start(c: Column | str) -> Column:
 
 
 def looks_like_date(c: Column | str) -> Column:
-    return F.trim(_col(c)).rlike(r"\A(\d{1,2}/\d{1,2}/\d{4}|\d{4}-\d{1,2}-\d{1,2})\z")
+    return F.trim(_col(c)).rlike(fv.WHOLE_DATE)
 
 
 def local_time(run_ts: Column) -> Column:
