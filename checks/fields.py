@@ -401,6 +401,37 @@ def _migrate(f):
     return U.migrate_legacy(current, legacy, _processes(f)).select("id_registro", "numero_processo", "status_processo", "valor")
 
 
+@query(
+    "report_upkeep",
+    sql("", "raw_reports").rstrip()
+    + f""", {_PROC_SQL} select id_registro, coalesce(p.status, r.status_processo) status_processo, numero_conta, r.cd_atendimento from raw_reports r
+left join proc p on p.numero = upper(trim(r.numero_processo)) where r.status_processo <> 'TRAMITANDO '""",
+)
+def _upkeep(f):
+    """The whole upkeep: older rows moved in, status refreshed, identifiers repaired."""
+    reports = f.reports()
+    legacy = reports.filter("status_processo = ' finalizado'").drop("status_processo")
+    kept = U.upgrade_reports(reports.filter("status_processo <> 'TRAMITANDO '"), legacy, _processes(f))
+    return kept.select("id_registro", "status_processo", "numero_conta", "cd_atendimento")
+
+
+@query(
+    "report_rows",
+    sql(
+        "select id_registro, 'SITUAÇÃO ' || right(numero_processo, 4) status_processo, competencia, valor from raw_reports"
+        " where l_orderkey % 3 > 0 and cast(right(numero_processo, 1) as int) % 2 = 1",
+        "raw_reports",
+    ),
+)
+def _report_rows(f):
+    """Rows with a month, of known processes, with the status of the process in capitals."""
+    order = F.substring("documento_id", 2, 20).cast("bigint")
+    enriched = f.reports().withColumn("competencia", F.when(order % 3 > 0, F.col("competencia")))
+    known = f.reports().select("numero_processo").distinct().filter("cast(right(numero_processo, 1) as int) % 2 = 1")
+    processes = known.withColumn("status_processo", F.concat(F.lit("situação "), F.expr("right(numero_processo, 4)")))
+    return U.report_table_rows(enriched, processes).select("id_registro", "status_processo", "competencia", "valor")
+
+
 @query(
     "technical_defaults",
     """select cast(o_orderkey as varchar) id_registro, coalesce(nullif(o_orderstatus, 'P'), 'legacy_migration') _dlt_load_id,
