@@ -42,7 +42,8 @@ def _value_after(rows: Column, folded: Column, label: str) -> Column:
                     F.when(line <= F.size(values), F.get(values, line - 1)).when(F.size(lines) == 1, F.get(values, F.lit(0))),
                 )
 
-            return F.when(line > 0, first_of(F.transform(upto(row, i + 2), take)))
+            # Most cells don't hold the label at all; they need no split.
+            return F.when(cell.contains(label) & (line > 0), first_of(F.transform(upto(row, i + 2), take)))
 
         return first_of(F.transform(folded_row, at_cell))
 
