@@ -149,6 +149,18 @@ def test_hot_blank_card_forms_no_pairs(spark):
     assert got.filter("seguro and not item_unico").count() == 2000
 
 
+def test_keys_are_shuffled_as_two_hashes(spark):
+    """A probe carries no text of its key; remittances of another type still meet, and keys of another guide don't."""
+    lines = [(1, 10, 3, "G1", "7", "S1", "", None, dt.date(2026, 1, 5), None, Decimal(1))]
+    denials = [(f"d{g}", "P1/2025", "01/2026", "A", Decimal(5), "ASSOCIADO", dt.date(2026, 1, 9), g, "S1", "07", Decimal(1)) for g in ("G1", "G2")]
+    d, empty = spark.createDataFrame(denials, DENIAL), _items(spark, lines).limit(0).withColumn("numero_processo", F.lit("P"))
+    m = spark.createDataFrame([("P1/2025", "01/2026", "A", Decimal(5), 1)], "numero_processo string, competencia_producao string, numero_protocolo string, valor_protocolo decimal(18,2), cd_remessa int")
+    assert C._report_probes(d).columns == ["k", "k2", "prioridade", "id_registro", "_processo"]
+    got = C.rule_results(d, empty, _items(spark, lines), m).collect()
+    assert {(r["id_registro"], r["prioridade"]) for r in got} >= {("dG1", 21), ("dG1", 22), ("dG2", 22)}
+    assert all(r["seguro"] and r["item_unico"] and r["_proprio"] == "P1/2025" for r in got) and ("dG2", 21) not in {(r["id_registro"], r["prioridade"]) for r in got}
+
+
 def test_rule_results_aggregate_by_hash(spark):
     """Only numbers are reduced, so no aggregation has to sort."""
     lines = [(1, 10, i, "", "", "S1", "", None, dt.date(2026, 1, 5), None, Decimal(1)) for i in range(5)]
