@@ -16,6 +16,10 @@ from claimweave.plans import report_table as U
 from claimweave.sources import cards as P
 
 
+#: Tasks that read the amounts, however few files the rows came from.
+_SPREAD = 64
+
+
 @query(
     "norm_keys",
     """select c_custkey, upper(trim(' ' || lower(c_name) || '  ')) chave, regexp_replace(c_name, '[^0-9]', '', 'g') digitos,
@@ -50,7 +54,7 @@ from (select md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
  cast(l_extendedprice as decimal(18,2)) price, l_quantity from lineitem)""",
 )
 def _money(f):
-    base = f.t("lineitem").selectExpr(
+    base = f.t("lineitem").repartition(_SPREAD).selectExpr(
         "md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(round(l_extendedprice*100) as bigint))) as line_id",
         "cast(l_extendedprice as decimal(18,2)) as price",
         "l_quantity",
@@ -78,7 +82,7 @@ def _money(f):
 from (select md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(round(l_extendedprice*100) as bigint))) line_id, l_orderkey, l_linenumber + 12 k from lineitem)""",
 )
 def _limits(f):
-    base = f.t("lineitem").selectExpr(
+    base = f.t("lineitem").repartition(_SPREAD).selectExpr(
         "md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(round(l_extendedprice*100) as bigint))) as line_id",
         "concat(repeat('9', cast(l_linenumber + 12 as int)), ',00') as grande",
         # a dot far behind the comma

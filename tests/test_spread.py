@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from checks import documents
+from checks import documents, fields
 from checks.frames import Frames
 from claimweave.functions import numbers as N
 from claimweave.functions import text as T
@@ -47,3 +47,12 @@ def test_folding_of_marks_and_ligatures(spark):
     found = rows.collect()
     assert [r["f"] for r in found] == ["joao", "ete", "fim a", "plain", "한", None]
     assert found[0]["c"] == "JOÃO x\ny" and found[0]["u"] == "JOÃO" and found[5]["u"] == ""
+
+
+def test_amounts_of_one_file_are_dealt_over_tasks(spark, tmp_path):
+    line = "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_extendedprice double, l_quantity double"
+    spark.createDataFrame([(5, 1, 2, 3, 1234.5, 8.0)], line).coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    for build in (fields._money, fields._limits):
+        rows = build(Frames(spark, str(tmp_path)))
+        assert rows.rdd.getNumPartitions() >= fields._SPREAD
+    assert fields._money(Frames(spark, str(tmp_path))).collect()[0]["negativo"] == Decimal("-1234.50")
