@@ -197,3 +197,26 @@ def test_nothing_is_published_after_a_failed_test(spark, tmp_path):
         run_linking(store, {**inputs, "association": inputs["association"].unionByName(inputs["association"])}, run_ts())
     assert {(t["modelo"], t["coluna"], t["teste"]) for t in stopped.value.failed} >= {("unlinked_mart", "id_registro", "unique"), ("linked_mart", "id_registro", "unique")}
     assert store.versions() == {} and not list(tmp_path.rglob("*.parquet"))
+
+
+def test_ids_are_carried_as_bytes(spark):
+    """Digests take half their digits; any other id, also one of capitals or none, comes back as it was."""
+    ids = ["0123456789abcdef" * 4, "00ff", "0", "", "ABCD", "abc", "ff\n", "é", "\x01ff", None]
+    rows = spark.createDataFrame([(i,) for i in ids], "id_registro string").select("id_registro", C._short_id().alias("curto"))
+    back = rows.select(F.col("id_registro").alias("antes"), "curto", F.col("curto").alias("id_registro")).select("antes", F.length("curto").alias("n"), C._whole_id()).collect()
+    assert [r["id_registro"] for r in back] == [r["antes"] for r in back] == ids
+    assert back[0]["n"] == 33 and rows.select("curto").distinct().count() == len(ids)
+
+
+def test_a_filter_on_the_rule_comes_before_the_shuffles(spark):
+    """Counts of legacy rules shuffle no probe or line of the report rules, and the other way round."""
+    from pyspark.sql.types import _parse_datatype_string as kind
+
+    d, lines = spark.createDataFrame([], kind(DENIAL)), _items(spark, [(1, 10, 1, "", "", "S1", "", None, dt.date(2026, 1, 5), None, Decimal(1))])
+    m = spark.createDataFrame([], "numero_processo string, competencia_producao string, numero_protocolo string, valor_protocolo decimal(18,2), cd_remessa bigint")
+    report = lines.withColumn("numero_processo", F.lit("P"))
+    for frame in (C.rule_counts(d, report, lines, m), C.rule_results(d, report, lines, m)):
+        plan = frame.filter("prioridade > 20")._jdf.queryExecution().optimizedPlan().toString()
+        kept = [line for line in plan.splitlines() if "Generate inline" in line]
+        above = [plan.splitlines()[plan.splitlines().index(line) - 1] for line in kept]
+        assert len(kept) == 4 and all("> 20" in line or ">= 21" in line for line in above), above
