@@ -198,3 +198,24 @@ def test_accent_tables_cover_every_code_point():
     """The blocks that are looked through hold every character with a compatibility form."""
     outside = [c for c in range(0x80, sys.maxunicode + 1) if unicodedata.decomposition(chr(c)) and not any(c in block for block in T._DECOMPOSED)]
     assert outside == []
+
+
+def test_node_text_is_what_elementtree_writes():
+    """Attributes, prefixes, escapes, empty elements and tails; a place is met under several nodes and twice in one."""
+    from xml.etree import ElementTree
+
+    from claimweave.sources import invoices as X
+
+    documents = [
+        '<a xmlns="u:1" xmlns:p="u:2" xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance" p:k="1&quot;&lt;&#10;&#9;&#13;" z="&amp;"><b xsi:nil="true"/> t &gt; <p:c>x &amp; y</p:c>tail<c xml:lang="pt"> </c></a>',
+        "<r><CompNfse><Numero> 1 </Numero><Numero>2</Numero><x-y>3</x-y></CompNfse> after <CompNfse><Numero/><e/></CompNfse>z</r>",
+        "<r><a/><b xmlns='u:9'><c xmlns='u:8' k='v'/></b></r>",
+    ]
+    for document in documents:
+        root = ElementTree.fromstring(document)
+        for node in root.iter():
+            assert X._text_of(node) == ElementTree.tostring(node, encoding="unicode")
+    first, second = X._nodes_of(ElementTree.fromstring(documents[1]))
+    assert X._describe(first)[1] == {"compnfse_numero": "1", "compnfse_numero_2": "2", "compnfse_x_y": "3"} and X._describe(second)[1] == {}
+    root = X._node_place("CompNfse")
+    assert root.child("{u:1}Numero") is root.below["{u:1}Numero"] and root.child("q" * 600).name.startswith("compnfse_q") and "q" * 600 not in root.below
