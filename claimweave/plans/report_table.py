@@ -81,14 +81,18 @@ def enrich_reports(rows: DataFrame, items: DataFrame) -> DataFrame:
     """Correct identifiers from the hospital lines of the same remittance and value.
 
     Lines of the same patient win over the others; a correction needs all matching lines
-    to agree.  Only lines of the rows' remittances go on.  They are reduced per (remittance, value[, patient]) to
-    their smallest and largest record first, so each report row meets at most one row per level.
+    to agree.  Only lines of the rows' remittances and values go on.  They are reduced per (remittance, value[, patient]) to
+    their smallest and largest record first, so each report row meets at most one row per level. The month of a
+    remittance is that of all its lines.
     """
-    wanted = rows.select("cd_remessa").filter("cd_remessa is not null").distinct()
-    items = items.join(wanted, "cd_remessa", "left_semi")
-    lines = items.filter(F.col("vl_total_conta").isNotNull() & F.col("cd_remessa").isNotNull()).select(
+    valued = items.filter(F.col("vl_total_conta").isNotNull() & F.col("cd_remessa").isNotNull()).withColumn(
+        "valor", F.col("vl_total_conta").cast("decimal(18,2)")
+    )
+    # Not made distinct, so that both sides come straight from a shuffle and a hot value can be split.
+    wanted = rows.select("cd_remessa", "valor").dropna()
+    lines = valued.join(wanted, ["cd_remessa", "valor"], "left_semi").select(
         "cd_remessa",
-        F.col("vl_total_conta").cast("decimal(18,2)").alias("valor"),
+        "valor",
         T.match_key("nm_paciente").alias("_paciente"),
         F.struct(
             "cd_reg", "cd_atendimento", "nm_paciente", "nr_guia", D.month_start("dt_competencia").alias("mes")
