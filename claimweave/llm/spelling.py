@@ -16,7 +16,9 @@ Words are counted over all documents in compiled code. Pairs are found with pivo
   half is equal too and goes into the key, so words that merely share a frequent beginning don't meet.
 
 The join carries ``levenshtein(r, s) = 1`` as its condition, so only verified pairs leave it. It is a
-plain inner join between two exchanges: adaptive execution splits a hot key on both sides.
+plain inner join between two exchanges: adaptive execution splits a hot key on both sides. All joins here are asked
+for as merge joins: sizes known of compressed files and before an explode are far too low, and a side that is taken
+for small would be broadcast through the driver.
 
 Null texts and texts without letters have no words. A null id counts as an empty one. Repeated rows
 count as often as they stand. Empty tables give no rows. Words shorter than ``least_length`` or rarer than
@@ -179,7 +181,7 @@ def near_words(words: DataFrame) -> DataFrame:
     r = _keyed(words, counts, True).select("key", F.col("word").alias("a"), F.col("n").alias("n_a"), F.col("last").alias("last_a"))
     s = _keyed(words, counts, False).select("key", F.col("word").alias("b"), F.col("n").alias("n_b"), F.col("last").alias("last_b"))
     first = (F.col("last_a") < F.col("last_b")) | ((F.col("last_a") == F.col("last_b")) & (F.col("a") < F.col("b")))
-    met = r.join(s, (r["key"] == s["key"]) & first & (F.levenshtein("a", "b", 1) == 1))
+    met = r.join(s.hint("merge"), (r["key"] == s["key"]) & first & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "n_a", "b", "n_b").distinct()
 
 
@@ -188,7 +190,7 @@ def _roots(forms: DataFrame, scratch: Scratch) -> DataFrame:
     now = scratch.cut(forms.select("word", F.col("form").alias("root")))
     while True:
         further = now.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        joined = scratch.cut(now.join(further, "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")))
+        joined = scratch.cut(now.join(further.hint("merge"), "root", "left").select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")))
         now = joined.drop("moved")
         if not joined.where("moved").limit(1).count():
             return now
@@ -204,5 +206,5 @@ def group_variants(words: DataFrame, factor: int = FACTOR) -> DataFrame:
     held = -F.col("best.less") >= factor * F.col("n")
     near = scratch.cut(best.select("word", "n_near", F.when(held, F.col("best.form")).alias("form"), F.when(held, -F.col("best.less")).alias("form_n")))
     roots = _roots(near.where("form is not null"), scratch)
-    joined = words.join(near, "word", "left").join(roots, "word", "left")
+    joined = words.join(near.hint("merge"), "word", "left").join(roots.hint("merge"), "word", "left")
     return joined.select("word", "form", F.coalesce("root", "word").alias("root"), "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form_n")

@@ -133,3 +133,14 @@ def brute_long(counts, word):
 def test_short_words_are_refused(spark):
     with pytest.raises(ValueError):
         count_words(spark.createDataFrame([], "doc_id long, text string"), least_length=3)
+
+
+def test_nothing_is_broadcast(spark, tmp_path):
+    """A word has a dozen keys and more, and compressed files say little: no side may be taken for small and sent through the driver."""
+    plan = lambda frame: frame._jdf.queryExecution().executedPlan().toString()
+    words = frame_of(spark, {f"{a}inter{b}": 5 + len(a) for a in ("w", "h", "sp") for b in ("", "s", "ed", "n")})
+    words.write.parquet(f"{tmp_path}/words")
+    read = spark.read.parquet(f"{tmp_path}/words")
+    near = near_words(read)
+    assert "SortMergeJoin" in plan(near) and "Broadcast" not in plan(near) and near.count() > 0
+    assert "Broadcast" not in plan(group_variants(read))
