@@ -220,3 +220,38 @@ def test_a_filter_on_the_rule_comes_before_the_shuffles(spark):
         kept = [line for line in plan.splitlines() if "Generate inline" in line]
         above = [plan.splitlines()[plan.splitlines().index(line) - 1] for line in kept]
         assert len(kept) == 4 and all("> 20" in line or ">= 21" in line for line in above), above
+
+
+def test_a_filter_on_the_side_drops_the_other_side(spark):
+    """Counts of legacy rules read no report line, and results of report rules no remittance and no hospital line."""
+    from pyspark.sql.types import _parse_datatype_string as kind
+
+    d, lines = spark.createDataFrame([], kind(DENIAL)), _items(spark, [(1, 10, 1, "", "", "S1", "", None, dt.date(2026, 1, 5), None, Decimal(1))])
+    m = spark.createDataFrame([], "numero_processo string, competencia_producao string, numero_protocolo string, valor_protocolo decimal(18,2), cd_remessa bigint")
+    report = lines.withColumn("numero_processo", F.lit("P"))
+    for frame in (C.rule_counts(d, report, lines, m), C.rule_results(d, report, lines, m)):
+        for side in ("_legado", "not _legado"):
+            plan = frame.filter(side)._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("Generate inline") == 2 and plan.count("Join") == (2 if side == "_legado" else 1), plan
+
+
+def test_counts_group_lines_where_they_lie(spark):
+    """Beyond the exchange by account, lines are shuffled to their key and to the join, not for every grouping."""
+    from pyspark.sql.types import _parse_datatype_string as kind
+
+    lines = _items(spark, [(1, 10, 1, "", "", "S1", "", None, dt.date(2026, 1, 5), None, Decimal(1))])
+    m = spark.createDataFrame([], "numero_processo string, competencia_producao string, numero_protocolo string, valor_protocolo decimal(18,2), cd_remessa bigint")
+    d, report = spark.createDataFrame([], kind(DENIAL)), lines.withColumn("numero_processo", F.lit("P")).repartition(2)
+    plan = C.rule_counts(d, report, lines.repartition(2), m).filter("_legado")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("cd_lancamento") and not [x for x in plan.splitlines() if "Exchange hashpartitioning(k" in x and "conta" in x], plan
+
+
+def test_sources_of_the_cascade_are_written_once(spark):
+    """No query of the cascade joins lines with their orders again for each of its readers."""
+    from checks import linking
+    from checks.frames import Frames
+
+    for build in (linking._legacy, linking._rule_outcomes, linking._direct):
+        plan = build(Frames(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().optimizedPlan().toString()
+        reads = build(Frames(spark, "/root/testdata/sf0.001")).inputFiles()
+        assert "Generate" in plan and not [x for x in reads if "lineitem.parquet" in x or "orders.parquet" in x]
