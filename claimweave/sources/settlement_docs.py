@@ -126,37 +126,38 @@ def _protocol_cells(rows: Column, folded: Column, start: Column) -> Column:
 def parse_settlement_tables(pages: DataFrame) -> DataFrame:
     """One row per protocol line with the summary of its document; ``erro`` marks broken values.
 
-    Each table becomes one short row (its header flag and its protocol cells); the header
-    of an earlier table is carried forward over those rows.
+    Each table becomes one short row (its summary, or its header flag and its protocol cells); these rows are shuffled
+    once, to their document, where they get its summary and the header of an earlier table is carried forward over them.
     """
     tables = pages.select(*DOCUMENT, "page", F.posexplode("tables").alias("tabela", "_t"))
     cleaned = fence(tables, _linhas=clean_rows(F.col("_t"))).drop("_t").filter(F.size("_linhas") > 0)
     folded = fence(cleaned, _dobradas=F.get(folded_cells(F.array("_linhas")), F.lit(0)))
-    kind = fence(folded, _resumo=_is_summary(F.col("_dobradas")))
-
-    summaries = (
-        kind.filter("_resumo")
-        .withColumn("resumo", _summary(F.col("_linhas"), F.col("_dobradas")))
-        .groupBy(*DOCUMENT)
-        .agg(F.max_by("resumo", F.struct("page", "tabela")).alias("resumo"))
-    )
-    headed = fence(kind.filter("not _resumo"), _lisas=squash_cells(F.col("_dobradas")))
-    headed = fence(headed, _cabecalho=_header(F.col("_lisas")))
-    short = headed.select(
+    kind = fence(folded, _resumo=_is_summary(F.col("_dobradas"))).dropna(subset=list(DOCUMENT))
+    other = ~F.col("_resumo")
+    headed = fence(kind, _lisas=F.when(other, squash_cells(F.col("_dobradas"))))
+    headed = fence(headed, _cabecalho=F.when(other, _header(F.col("_lisas"))))
+    short = fence(
+        headed,
+        _sumario=F.when(F.col("_resumo"), _summary(F.col("_linhas"), F.col("_dobradas"))),
+        _celulas=F.when(other, _protocol_cells(F.col("_linhas"), F.col("_lisas"), F.coalesce("_cabecalho.inicio", F.lit(0)))),
+    ).select(
         *DOCUMENT,
         "page",
         "tabela",
         F.expr(f"page div {_PAGE_BLOCK}").alias("_bloco"),
         F.col("_cabecalho.origem").alias("_origem"),
-        _protocol_cells(F.col("_linhas"), F.col("_lisas"), F.coalesce("_cabecalho.inicio", F.lit(0))).alias("_celulas"),
+        F.when(F.col("_resumo"), F.struct("page", "tabela")).alias("_lugar"),
+        "_sumario",
+        "_celulas",
     )
+    # The last summary of the document; its tables were cleaned once, for this and for their protocol lines.
+    short = short.withColumn("resumo", F.max_by("_sumario", "_lugar").over(W.partitionBy(*DOCUMENT))).filter("resumo is not null").drop("_sumario", "_lugar")
     order = ["page", "tabela"]
     carried = carry_forward(short, list(DOCUMENT), order, "_bloco", "_origem", "_com_origem")
-    lines = carried.filter(F.col("_com_origem").isNotNull()).select(*DOCUMENT, "page", "_com_origem", F.inline("_celulas"))
+    lines = carried.filter(F.col("_com_origem").isNotNull()).select(*DOCUMENT, "page", "_com_origem", "resumo", F.inline("_celulas"))
     own = [c for c in fv.SETTLEMENT_LABELS if c != "numero_processo"]
     joined = (
-        lines.join(summaries, list(DOCUMENT))
-        .withColumnRenamed("numero_processo", "processo_origem")
+        lines.withColumnRenamed("numero_processo", "processo_origem")
         .select(
             "*",
             *[F.col(f"resumo.{c}").alias(c) for c in own],

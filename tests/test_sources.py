@@ -219,3 +219,28 @@ def test_node_text_is_what_elementtree_writes():
     assert X._describe(first)[1] == {"compnfse_numero": "1", "compnfse_numero_2": "2", "compnfse_x_y": "3"} and X._describe(second)[1] == {}
     root = X._node_place("CompNfse")
     assert root.child("{u:1}Numero") is root.below["{u:1}Numero"] and root.child("q" * 600).name.startswith("compnfse_q") and "q" * 600 not in root.below
+
+
+def test_settlement_tables_are_cleaned_once(spark):
+    """Summaries, headers and protocol lines come from one reading of the tables; the last summary of a document counts, and one without a name has no lines."""
+    from claimweave.sources import settlement_docs as S
+
+    labels = {"CNPJ": "12.345.678/0001-90", "Competência TMS": "01/2025", "Comp de Produção": "01/2025", "Dt Fechamento": "02/02/2025", "Valor Informado": "3,00", "Valor Liberado": "3,00", "Valor Glosado": "0,00"}
+
+    def summary(name):
+        return [["Nome Prestador", name], ["Número Processo", "P1/2025"], *([k, v] for k, v in labels.items())]
+
+    head = ["Nr", "Valor Protocolo", "Valor Glosado", "Valor Aprovado"]
+    line = lambda n: [n, "x", "3,00", "1,00", "2,00"]
+    pages = [
+        ("P1/2025", "D1", "a.pdf", 1, [summary("OLD"), [head, line("1")]]),
+        ("P1/2025", "D1", "a.pdf", 70, [[line("2")]]),
+        ("P1/2025", "D1", "a.pdf", 140, [[line("3")], summary("NEW")]),
+        ("P1/2025", "D2", "a.pdf", 1, [[head, line("4")]]),
+        ("P1/2025", None, "a.pdf", 1, [summary("OLD"), [head, line("5")]]),
+    ]
+    frame = spark.createDataFrame(pages, "numero_processo string, documento_id string, documento_nome string, page int, tables array<array<array<string>>>")
+    rows = S.parse_settlement_tables(frame)
+    got = sorted((r["documento_id"], r["nr"], r["nome_prestador"], r["pagina_pdf"]) for r in rows.collect())
+    assert got == [("D1", "1", "NEW", 1), ("D1", "2", "NEW", 70), ("D1", "3", "NEW", 140)]
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Generate posexplode") == 1
